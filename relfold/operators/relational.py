@@ -140,7 +140,7 @@ def tokens_per(df: DataFrame, key: str, token: str, per_row: int = 100_000, name
     before = _running_before(placed, key, "_rank", "_n")
     first, last = F.col("_before"), F.col("_before") + F.col("_n") - 1
     parts = F.explode(F.sequence(F.floor(first / per_row), F.floor(last / per_row)))
-    cut = before.withColumn("part", parts.cast("bigint"))
+    cut = before.withColumn("part", parts)
     copies = F.least(last, (F.col("part") + 1) * per_row - 1) - F.greatest(first, F.col("part") * per_row) + 1
     cut = cut.withColumn("_copies", copies.cast("int"))
     lists = cut.groupBy(key, "part").agg(F.array_sort(F.collect_list(F.struct("_t", "_copies"))).alias("_l"))

@@ -184,9 +184,10 @@ def column_label(value) -> str:
     return text.strip("_")
 
 
-def pivot_items(category: str, values: Sequence, spec: Spec | None = None, prefix: str = "",
+def pivot_items(category: str, values: Sequence, spec: Spec | None = None, prefix: str | None = None,
                 where: Column | None = None) -> list[Item]:
     """Per category value a row count (no spec) or the spec; conditional aggregates, so one shuffle for all."""
+    prefix = f"{category}_" if prefix is None else prefix
     out = []
     for v in values:
         cond = F.col(category) == F.lit(v)
@@ -200,16 +201,16 @@ def pivot_items(category: str, values: Sequence, spec: Spec | None = None, prefi
     return out
 
 
-def pivot_count(df: DataFrame, key, category: str, values: Sequence, prefix: str = "") -> DataFrame:
+def pivot_count(df: DataFrame, key, category: str, values: Sequence, prefix: str | None = None) -> DataFrame:
     """Rows per category value as columns, NULL for an absent value; keys without any of the values are left out."""
     return rollup_items(df.where(F.col(category).isin(list(values))), key, pivot_items(category, values, prefix=prefix))
 
 
-def pivot_stats(df: DataFrame, key, category: str, values: Sequence, spec: Spec, prefix: str = "") -> DataFrame:
+def pivot_stats(df: DataFrame, key, category: str, values: Sequence, spec: Spec, prefix: str | None = None) -> DataFrame:
     return rollup_items(df.where(F.col(category).isin(list(values))), key, pivot_items(category, values, spec, prefix))
 
 
-def pivot_share(df: DataFrame, key, category: str, values: Sequence, prefix: str = "") -> DataFrame:
+def pivot_share(df: DataFrame, key, category: str, values: Sequence, prefix: str | None = None) -> DataFrame:
     """Share of the key's rows that have each category value, NULL for an absent value."""
     counts = rollup_items(df, key, pivot_items(category, values, prefix=prefix), extra=[F.count(F.lit(1)).alias("_rows")])
     names = [i.name for i in pivot_items(category, values, prefix=prefix)]

@@ -140,9 +140,9 @@ first_due_day last_due_day last_due_first_day termination_day hour last_in_day n
 version number due_day paid_day loan_id card_id contract_id part_id order_day ship_day""".split())
 
 
-def sql_aggregate(fn: str, c: str, name: str, cond: str | None = None, order: str | None = None, whole: set[str] = WHOLE) -> str:
-    """One aggregate of a spec as SQL text, with rounding where the result is not a whole number."""
-    flt = lambda extra="": (" FILTER (WHERE " + " AND ".join(x for x in (cond, extra) if x) + ")") if cond or extra else ""
+def raw_aggregate(fn: str, c: str, cond: str | None = None, order: str | None = None) -> str:
+    """One aggregate of a spec as SQL text, not rounded."""
+    flt = lambda extra="": (" FILTER (WHERE " + " AND ".join(f"({x})" for x in (cond, extra) if x) + ")") if cond or extra else ""
     rows = f"count(*){flt()}"
     body = {
         "count": f"count({c}){flt()}", "size": rows, "sum": f"coalesce(sum({c}){flt()}, 0)", "mean": f"avg({c}){flt()}",
@@ -154,6 +154,12 @@ def sql_aggregate(fn: str, c: str, name: str, cond: str | None = None, order: st
     }[fn]
     if cond and fn in ("count", "size", "sum", "nunique"):
         body = f"CASE WHEN {rows} > 0 THEN {body} END"
+    return body
+
+
+def sql_aggregate(fn: str, c: str, name: str, cond: str | None = None, order: str | None = None, whole: set[str] = WHOLE) -> str:
+    """The aggregate under its name, rounded where the result is not a whole number."""
+    body = raw_aggregate(fn, c, cond, order)
     if fn in ("count", "size", "nunique"):
         return f"{body} AS {name}"
     if c in whole and fn in ("sum", "min", "max", "range", "first", "last"):

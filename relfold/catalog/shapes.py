@@ -209,7 +209,7 @@ def rate_by_equal_width(spark, sf_dir):
 
 
 @query("rate_by_quantile", f"""WITH {LABELLED}, q AS (SELECT quantile_cont(n_chars, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e FROM lab),
-  b AS (SELECT quality, 1 + len(list_filter(e, y -> y < n_chars)) AS bin FROM lab, q) {BINS}""")
+  b AS (SELECT quality, 1 + len(list_filter(e, lambda y: y < n_chars)) AS bin FROM lab, q) {BINS}""")
 def rate_by_quantile(spark, sf_dir):
     return evaluate.rate_by_quantile(labelled(spark, sf_dir), "n_chars", "quality")
 

@@ -49,12 +49,18 @@ def nunique_with_null(x: Column) -> Column:
     return F.count_distinct(x) + F.max(F.when(x.isNull(), 1).otherwise(0))
 
 
-def aggregate(fn: str, name: str, cond: Column | None = None, order: Sequence[str] | None = None) -> Column:
-    """Aggregate ``fn`` over column ``name``, over the rows meeting ``cond`` if given.
+def condition(cond: Column | str | None) -> Column | None:
+    """A condition given as a Column or as SQL text."""
+    return F.expr(cond) if isinstance(cond, str) else cond
+
+
+def aggregate(fn: str, name: str, cond: Column | str | None = None, order: Sequence[str] | None = None) -> Column:
+    """Aggregate ``fn`` over column ``name``, over the rows meeting ``cond`` (Column or SQL text) if given.
 
     With a condition the result is NULL when no row meets it, as if the group had been filtered first.
     """
     x = F.col(name)
+    cond = condition(cond)
     if cond is not None:
         x = F.when(cond, x)
     rows = F.count(F.lit(1)) if cond is None else F.count(F.when(cond, 1))

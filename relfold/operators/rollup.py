@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relfold.functions.aggregates import DISTINCT, HOLISTIC, aggregate
+from relfold.functions.aggregates import DISTINCT, HOLISTIC, aggregate, condition
 from relfold.operators.hotkeys import as_list, drop_null_keys, hot_keys
 from relfold.operators.quantile import group_quantiles
 
@@ -28,10 +28,10 @@ class Item:
     fn: str
     source: str
     name: str
-    cond: Column | None = None
+    cond: Column | str | None = None
 
 
-def spec_items(spec: Spec, prefix: str = "", suffix: str = "", cond: Column | None = None) -> list[Item]:
+def spec_items(spec: Spec, prefix: str = "", suffix: str = "", cond: Column | str | None = None) -> list[Item]:
     return [Item(fn, c, f"{prefix}{c}_{fn}{suffix}", cond) for c, fns in spec.items() for fn in fns]
 
 
@@ -40,11 +40,23 @@ def window_items(time: str, windows: Sequence[int], spec: Spec, prefix: str = ""
     """The spec once per trailing window; time counts backwards from 0, so newer than w means time > -w."""
     out = []
     for w in windows:
-        cond = F.col(time) >= -w if inclusive else F.col(time) > -w
+        cond = f"{time} >= -{w}" if inclusive else f"{time} > -{w}"
         out += spec_items(spec, prefix, f"_{w}{unit}", cond)
     return out
 
 
+def _distinct_counts(df: DataFrame, keys: list[str], source: str, items: Sequence[Item]) -> DataFrame:
+    """Distinct values of one column per key under any number of conditions, in one pass.
+
+    One row per (key, value) first, flagged by the conditions any of its rows meets; then the flags are counted.
+    """
+    flags = [F.lit(1) if i.cond is None else F.max(F.when(condition(i.cond), 1).otherwise(0)) for i in items]
+    pairs = df.groupBy(*keys, source).agg(F.count(F.lit(1)).alias("_n"), *[f.alias(f"_f{k}") for k, f in enumerate(flags)])
+    known = F.col(source).isNotNull()
+    counts = [F.when(F.max(f"_f{k}") > 0, F.sum(F.when(known, F.col(f"_f{k}")).otherwise(0))).alias(i.name) for k, i in enumerate(items)]
+    return pairs.groupBy(*keys).agg(*counts)
+
+
 def rollup_items(df: DataFrame, key, items: Sequence[Item], order: Sequence[str] | None = None,
                  extra: Sequence[Column] = (), hot_rows: int | None = None) -> DataFrame:
     """One row per key with every item, plus any extra (already named, algebraic) aggregate columns."""
@@ -60,11 +72,11 @@ def rollup_items(df: DataFrame, key, items: Sequence[Item], order: Sequence[str]
     parts = []
     if columns:
         parts.append(df.groupBy(*keys).agg(*columns))
-    if distinct:
-        parts.append(df.groupBy(*keys).agg(*map(build, distinct)))
+    for source in dict.fromkeys(i.source for i in distinct):
+        parts.append(_distinct_counts(df, keys, source, [i for i in distinct if i.source == source]))
     if hot is not None:
         for i in medians:
-            x = F.col(i.source) if i.cond is None else F.when(i.cond, F.col(i.source))
+            x = F.col(i.source) if i.cond is None else F.when(condition(i.cond), F.col(i.source))
             one = group_quantiles(df.select(*keys, x.alias("_x")), keys, "_x", hot=hot)
             parts.append(one.select(*keys, F.col("q0").alias(i.name)))
     out = parts[0]
@@ -89,7 +101,7 @@ def rollup_windows(df: DataFrame, key, time: str, windows: Sequence[int], spec:
 
 
 def rollup_two_level(df: DataFrame, entity, child, inner: Spec, outer: Spec, order=None, prefix: str = "",
-                     suffix: str = "", cond: Column | None = None) -> DataFrame:
+                     suffix: str = "", cond: Column | str | None = None) -> DataFrame:
     """Per (entity, child) first, then those child values per entity. Outer columns name inner results."""
     per_child = rollup_items(df, [*as_list(entity), *as_list(child)], spec_items(inner, cond=cond), order)
     return rollup(per_child, entity, outer, prefix=prefix, suffix=suffix)

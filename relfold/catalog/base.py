@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,14 +18,10 @@ NUDGE = 0.50037
 
 def tidy(df: DataFrame, digits: int = 4) -> DataFrame:
     """Round every floating column to ``digits`` decimals."""
-    scale = float(10 ** digits)
-    out = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = (F.floor(c.cast("double") * F.lit(scale) + F.lit(NUDGE)).cast("double") / F.lit(scale)).alias(f.name)
-        out.append(c)
-    return df.select(*out)
+    scale = f"{10 ** digits}D"
+    real = lambda f: isinstance(f.dataType, (T.DoubleType, T.FloatType))
+    out = [f"double(floor(double(`{f.name}`) * {scale} + {NUDGE}D)) / {scale} AS `{f.name}`" if real(f) else f"`{f.name}`" for f in df.schema.fields]
+    return df.selectExpr(*out)
 
 
 def r(expr: str, digits: int = 4) -> str:
@@ -157,15 +152,15 @@ def raw_aggregate(fn: str, c: str, cond: str | None = None, order: str | None =
     return body
 
 
-def sql_aggregate(fn: str, c: str, name: str, cond: str | None = None, order: str | None = None, whole: set[str] = WHOLE) -> str:
+def sql_aggregate(fn: str, c: str, name: str, cond: str | None = None, order: str | None = None, whole: set[str] = WHOLE, digits: int = 4) -> str:
     """The aggregate under its name, rounded where the result is not a whole number."""
     body = raw_aggregate(fn, c, cond, order)
     if fn in ("count", "size", "nunique"):
         return f"{body} AS {name}"
     if c in whole and fn in ("sum", "min", "max", "range", "first", "last"):
         return f"({body})::BIGINT AS {name}"
-    return f"{r(body)} AS {name}"
+    return f"{r(body, digits)} AS {name}"
 
 
-def sql_spec(spec, prefix: str = "", suffix: str = "", cond: str | None = None, order: str | None = None, whole: set[str] = WHOLE) -> str:
-    return ",\n  ".join(sql_aggregate(fn, c, f"{prefix}{c}_{fn}{suffix}", cond, order, whole) for c, fns in spec.items() for fn in fns)
+def sql_spec(spec, prefix: str = "", suffix: str = "", cond: str | None = None, order: str | None = None, whole: set[str] = WHOLE, digits: int = 4) -> str:
+    return ",\n  ".join(sql_aggregate(fn, c, f"{prefix}{c}_{fn}{suffix}", cond, order, whole, digits) for c, fns in spec.items() for fn in fns)

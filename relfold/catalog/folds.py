@@ -93,13 +93,13 @@ def multi_key_join(spark, sf_dir):
 CREDIT_ORDER = ORDER
 
 
-def spec_query(name, spec, role=roles.credit, cte=CREDIT, table="credit", key=E, order=None, order_sql=ORDER_SQL):
-    sql = f"WITH {cte} SELECT {key}, {sql_spec(spec, order=order_sql)} FROM {table} GROUP BY 1"
-    query(name, sql)(lambda spark, sf_dir: fold.rollup(role(spark, sf_dir), key, spec, order))
+def spec_query(name, spec, role=roles.credit, cte=CREDIT, table="credit", key=E, order=None, order_sql=ORDER_SQL, digits=4):
+    sql = f"WITH {cte} SELECT {key}, {sql_spec(spec, order=order_sql, digits=digits)} FROM {table} GROUP BY 1"
+    query(name, sql, digits)(lambda spark, sf_dir: fold.rollup(role(spark, sf_dir), key, spec, order))
 
 
 spec_query("agg_basic", {"debt": ["count", "size", "sum", "mean", "min", "max"], "end_day": ["count", "sum", "mean", "min", "max"]})
-spec_query("agg_spread", {"amount": ["std", "var", "range"], "debt": ["std", "range"], "start_day": ["std", "range"]})
+spec_query("agg_spread", {"amount": ["std", "var", "range"], "debt": ["std", "range"], "start_day": ["std", "range"]}, digits=1)
 spec_query("agg_median", {"amount": ["median"], "debt": ["median"], "start_day": ["median"]})
 spec_query("agg_skew", {"amount": ["skew"], "debt": ["skew"], "start_day": ["skew"]})
 spec_query("agg_kurtosis", {"amount": ["kurt"], "debt": ["kurt"]})
@@ -118,8 +118,8 @@ def agg_nunique_with_null_inline(spark, sf_dir):
     return driver_table(spark, sf_dir, "lineitem").agg(nunique_with_null(F.nullif("l_linenumber", F.lit(3))).cast("bigint").alias("n"))
 
 
-@query("agg_trend", f"""SELECT o_custkey, {r('coalesce(regr_slope(o_totalprice, p), 0)')} AS trend FROM (SELECT o_custkey, o_totalprice,
-  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS p FROM orders) GROUP BY 1""", digits=4)
+@query("agg_trend", f"""SELECT o_custkey, {r('CASE WHEN count(*) > 1 THEN regr_slope(o_totalprice, p) ELSE 0 END')} AS trend FROM (SELECT o_custkey, o_totalprice,
+  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS p FROM orders) GROUP BY 1""")
 def agg_trend(spark, sf_dir):
     return trend(driver_table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice"), "o_custkey", ["o_orderdate", "o_orderkey"], "o_totalprice")
 

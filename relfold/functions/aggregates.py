@@ -49,53 +49,32 @@ def nunique_with_null(x: Column) -> Column:
     return F.count_distinct(x) + F.max(F.when(x.isNull(), 1).otherwise(0))
 
 
-def condition(cond: Column | str | None) -> Column | None:
-    """A condition given as a Column or as SQL text."""
-    return F.expr(cond) if isinstance(cond, str) else cond
+def aggregate_text(fn: str, name: str, cond: str | None = None, order: Sequence[str] | None = None) -> str:
+    """Aggregate ``fn`` over column ``name`` as SQL text, over the rows meeting ``cond`` if given.
 
-
-def aggregate(fn: str, name: str, cond: Column | str | None = None, order: Sequence[str] | None = None) -> Column:
-    """Aggregate ``fn`` over column ``name``, over the rows meeting ``cond`` (Column or SQL text) if given.
-
-    With a condition the result is NULL when no row meets it, as if the group had been filtered first.
+    Text, because a block has hundreds of aggregates and one statement reaches Spark far sooner than thousands of
+    ``Column`` calls. With a condition the result is NULL when no row meets it, as if the group had been filtered first.
     """
-    x = F.col(name)
-    cond = condition(cond)
-    if cond is not None:
-        x = F.when(cond, x)
-    rows = F.count(F.lit(1)) if cond is None else F.count(F.when(cond, 1))
+    only = f" FILTER (WHERE {cond})" if cond else ""
+    rows = f"count(1){only}"
     if fn in ORDERED:
         if not order:
             raise ValueError(f"{fn}({name}) needs an order")
-        out = first_by(x, order) if fn == "first" else last_by(x, order)
-    elif fn == "count":
-        out = F.count(x)
-    elif fn == "size":
-        out = rows
-    elif fn == "sum":
-        out = F.coalesce(F.sum(x), F.lit(0))
-    elif fn == "mean":
-        out = F.avg(x)
-    elif fn == "min":
-        out = F.min(x)
-    elif fn == "max":
-        out = F.max(x)
-    elif fn == "std":
-        out = F.stddev_samp(x)
-    elif fn == "var":
-        out = F.var_samp(x)
-    elif fn == "range":
-        out = F.max(x) - F.min(x)
-    elif fn == "skew":
-        out = adjusted_skew(x)
-    elif fn == "kurt":
-        out = F.kurtosis(x)
-    elif fn == "median":
-        out = F.median(x)
-    elif fn == "nunique":
-        out = F.count_distinct(x)
-    else:
+        known = f"{name} IS NOT NULL" + (f" AND ({cond})" if cond else "")
+        return f"{'min_by' if fn == 'first' else 'max_by'}({name}, struct({', '.join(order)})) FILTER (WHERE {known})"
+    n = f"count({name}){only}"
+    forms = {
+        "count": n, "size": rows, "sum": f"coalesce(sum({name}){only}, 0)", "mean": f"avg({name}){only}", "min": f"min({name}){only}",
+        "max": f"max({name}){only}", "std": f"stddev_samp({name}){only}", "var": f"var_samp({name}){only}",
+        "range": f"max({name}){only} - min({name}){only}", "kurt": f"kurtosis({name}){only}", "median": f"median({name}){only}",
+        # adjusted for the group size; 0 where all values are equal
+        "skew": f"CASE WHEN {n} >= 3 THEN coalesce(skewness({name}){only} * sqrt(double({n}) * ({n} - 1)) / nullif({n} - 2, 0), 0) END",
+    }
+    if fn not in forms:
         raise ValueError(f"unknown aggregate function: {fn}")
-    if cond is not None and fn in ZERO_ON_EMPTY:
-        out = F.when(rows > 0, out)
-    return out
+    return f"CASE WHEN {rows} > 0 THEN {forms[fn]} END" if cond and fn in ZERO_ON_EMPTY else forms[fn]
+
+
+def aggregate(fn: str, name: str, cond: str | None = None, order: Sequence[str] | None = None) -> Column:
+    """The same as a ``Column``."""
+    return F.expr(aggregate_text(fn, name, cond, order))

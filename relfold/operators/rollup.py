@@ -9,12 +9,12 @@ separate narrow pass (Spark first de-duplicates on the map side by key and value
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relfold.functions.aggregates import DISTINCT, HOLISTIC, aggregate, condition
+from relfold.functions.aggregates import DISTINCT, HOLISTIC, aggregate_text
 from relfold.operators.hotkeys import as_list, drop_null_keys, hot_keys
 from relfold.operators.quantile import group_quantiles
 
@@ -50,39 +50,54 @@ def _distinct_counts(df: DataFrame, keys: list[str], source: str, items: Sequenc
 
     One row per (key, value) first, flagged by the conditions any of its rows meets; then the flags are counted.
     """
-    flags = [F.lit(1) if i.cond is None else F.max(F.when(condition(i.cond), 1).otherwise(0)) for i in items]
-    pairs = df.groupBy(*keys, source).agg(F.count(F.lit(1)).alias("_n"), *[f.alias(f"_f{k}") for k, f in enumerate(flags)])
-    known = F.col(source).isNotNull()
-    counts = [F.when(F.max(f"_f{k}") > 0, F.sum(F.when(known, F.col(f"_f{k}")).otherwise(0))).alias(i.name) for k, i in enumerate(items)]
-    return pairs.groupBy(*keys).agg(*counts)
+    flags = ["1" if i.cond is None else f"max(CASE WHEN {i.cond} THEN 1 ELSE 0 END)" for i in items]
+    pairs = fold(df, [*keys, source], ["count(1) AS _n", *[f"{f} AS _f{k}" for k, f in enumerate(flags)]])
+    counts = [f"CASE WHEN max(_f{k}) > 0 THEN sum(CASE WHEN {source} IS NOT NULL THEN _f{k} ELSE 0 END) END AS {i.name}" for k, i in enumerate(items)]
+    return fold(pairs, keys, counts)
+
+
+def fold(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """One statement: the aggregate columns (SQL text) per key."""
+    names = ", ".join(keys)
+    return df.sparkSession.sql(f"SELECT {names}, {', '.join(columns)} FROM {{rows}} GROUP BY {names}", rows=df)
+
+
+def _named_conditions(df: DataFrame, items: Sequence[Item]) -> tuple[DataFrame, list[Item]]:
+    """Conditions given as Columns become boolean row columns that the SQL text can name."""
+    new = {f"_cond{k}": i.cond for k, i in enumerate(items) if isinstance(i.cond, Column)}
+    if not new:
+        return df, list(items)
+    texts = [replace(i, cond=f"_cond{k}") if f"_cond{k}" in new else i for k, i in enumerate(items)]
+    return df.withColumns(new), texts
 
 
 def rollup_items(df: DataFrame, key, items: Sequence[Item], order: Sequence[str] | None = None,
-                 extra: Sequence[Column] = (), hot_rows: int | None = None) -> DataFrame:
-    """One row per key with every item, plus any extra (already named, algebraic) aggregate columns."""
+                 extra: Sequence[str] = (), hot_rows: int | None = None) -> DataFrame:
+    """One row per key with every item, plus any extra aggregate columns ("text AS name")."""
     keys = as_list(key)
-    df = drop_null_keys(df, keys)
+    df, items = _named_conditions(drop_null_keys(df, keys), items)
     order = as_list(order) if order else None
     distinct = [i for i in items if i.fn in DISTINCT]
     medians = [i for i in items if i.fn in HOLISTIC]
     hot = hot_keys(df, keys, hot_rows) if medians else None
     inline = [i for i in items if i.fn not in DISTINCT and (i.fn not in HOLISTIC or hot is None)]
-    build = lambda i: aggregate(i.fn, i.source, i.cond, order).alias(i.name)
-    columns = [*map(build, inline), *extra]
     parts = []
-    if columns:
-        parts.append(df.groupBy(*keys).agg(*columns))
+    if inline or extra:
+        parts.append(fold(df, keys, [*[f"{aggregate_text(i.fn, i.source, i.cond, order)} AS {i.name}" for i in inline], *extra]))
     for source in dict.fromkeys(i.source for i in distinct):
         parts.append(_distinct_counts(df, keys, source, [i for i in distinct if i.source == source]))
     if hot is not None:
         for i in medians:
-            x = F.col(i.source) if i.cond is None else F.when(condition(i.cond), F.col(i.source))
-            one = group_quantiles(df.select(*keys, x.alias("_x")), keys, "_x", hot=hot)
+            x = i.source if i.cond is None else f"CASE WHEN {i.cond} THEN {i.source} END"
+            one = group_quantiles(df.selectExpr(*keys, f"{x} AS _x"), keys, "_x", hot=hot)
             parts.append(one.select(*keys, F.col("q0").alias(i.name)))
     out = parts[0]
     for part in parts[1:]:
         out = out.join(part, keys, "left")
-    return out.select(*keys, *[i.name for i in items], *[c for c in out.columns if c not in keys and c not in {i.name for i in items}])
+    if len(parts) == 1:
+        return out
+    names = [i.name for i in items]
+    return out.select(*keys, *names, *[c for c in out.columns if c not in keys and c not in set(names)])
 
 
 def rollup(df: DataFrame, key, spec: Spec, order=None, prefix: str = "", suffix: str = "",
@@ -137,11 +152,16 @@ def group_nunique_with_null(df: DataFrame, key, value: str, name: str) -> DataFr
 # ---------------------------------------------------------------- conditions and statuses
 
 
+def literal(value) -> str:
+    """A category value as SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
+
+
 def status_items(status: str, values: Mapping[str, str], spec: Spec, prefix: str = "") -> list[Item]:
     """The spec once per status value; ``values`` maps the value in the data to its name in the output."""
     out = []
     for value, label in values.items():
-        out += spec_items(spec, f"{prefix}{label}_", cond=F.col(status) == F.lit(value))
+        out += spec_items(spec, f"{prefix}{label}_", cond=f"{status} = {literal(value)}")
     return out
 
 
@@ -171,7 +191,7 @@ def status_span(df: DataFrame, key, status: str, values: Mapping[str, str], time
     """Per status: number of rows, earliest and latest time."""
     items = []
     for value, label in values.items():
-        cond = F.col(status) == F.lit(value)
+        cond = f"{status} = {literal(value)}"
         items += [Item("size", time, f"{label}_count", cond), Item("min", time, f"{label}_min", cond),
                   Item("max", time, f"{label}_max", cond)]
     return rollup_items(df, key, items)
@@ -197,14 +217,12 @@ def column_label(value) -> str:
 
 
 def pivot_items(category: str, values: Sequence, spec: Spec | None = None, prefix: str | None = None,
-                where: Column | None = None) -> list[Item]:
+                where: str | None = None) -> list[Item]:
     """Per category value a row count (no spec) or the spec; conditional aggregates, so one shuffle for all."""
     prefix = f"{category}_" if prefix is None else prefix
     out = []
     for v in values:
-        cond = F.col(category) == F.lit(v)
-        if where is not None:
-            cond = cond & where
+        cond = f"{category} = {literal(v)}" + (f" AND ({where})" if where else "")
         label = column_label(v)
         if spec is None:
             out.append(Item("size", category, f"{prefix}{label}_count", cond))
@@ -224,7 +242,7 @@ def pivot_stats(df: DataFrame, key, category: str, values: Sequence, spec: Spec,
 
 def pivot_share(df: DataFrame, key, category: str, values: Sequence, prefix: str | None = None) -> DataFrame:
     """Share of the key's rows that have each category value, NULL for an absent value."""
-    counts = rollup_items(df, key, pivot_items(category, values, prefix=prefix), extra=[F.count(F.lit(1)).alias("_rows")])
+    counts = rollup_items(df, key, pivot_items(category, values, prefix=prefix), extra=["count(1) AS _rows"])
     names = [i.name for i in pivot_items(category, values, prefix=prefix)]
     return counts.select(*as_list(key), *[F.try_divide(F.col(n).cast("double"), F.col("_rows")).alias(f"{n}_share") for n in names])
 
@@ -325,7 +343,7 @@ def last_status_pivot(df: DataFrame, entity, child, order, status: str, values:
     newest = F.max_by(status, F.struct(*as_list(order)))
     per_child = drop_null_keys(df, [*keys, child]).groupBy(*keys, child).agg(newest.alias("_last"))
     items = pivot_items("_last", values, prefix="last_")
-    out = rollup_items(per_child, entity, items, extra=[F.count(F.lit(1)).alias("_children")])
+    out = rollup_items(per_child, entity, items, extra=["count(1) AS _children"])
     return out.select(*keys, *[i.name for i in items], *[
         F.try_divide(F.col(i.name).cast("double"), F.col("_children")).alias(f"{i.name}_share") for i in items])
 

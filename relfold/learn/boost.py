@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relfold.operators.evaluate import fold_average, stratified_folds
+from relfold.sources.store import ensure_checkpoint_dir
 
 # fixed training parameters of the credit model that Spark's trees also have
 DEFAULTS = {"maxDepth": 8, "stepSize": 0.02, "subsamplingRate": 0.8715623, "minInfoGain": 0.0222415, "seed": 66, "maxIter": 100}
@@ -58,6 +59,9 @@ def cross_validate(df: DataFrame, key: str, label: str, features: Sequence[str],
                    params: dict | None = None) -> DataFrame:
     """(key, part, fold, score): out-of-fold scores of labelled rows, mean of the k models' scores for the others."""
     known = stratified_folds(df.where(F.col(label).isNotNull()), key, label, k, seed)
+    # every fold reads the split again, so it is computed once
+    ensure_checkpoint_dir(df.sparkSession)
+    known = known.checkpoint()
     unknown = df.where(F.col(label).isNull())
     valid, test = None, None
     for i in range(k):

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from relfold.operators.hotkeys import as_list
+from relfold.operators.hotkeys import as_list, drop_null_keys
 from relfold.operators.quantile import table_quantiles, value_bucket
 
 HASH_RANGE = 2147483648
@@ -27,19 +27,15 @@ def mix(key: str | Column, seed: int) -> Column:
 
 
 def hash_position(df: DataFrame, key: str, seed: int, groups: Sequence[str] = (), name: str = "position") -> DataFrame:
-    """1-based position of each row by (hash, id), over the table or inside each group."""
+    """1-based position of each row by (hash, id), over the table or inside each group; rows need a group."""
     groups = as_list(groups)
-    rows = df.withColumn("_h", mix(key, seed)).withColumn("_r", F.shiftright(F.col("_h"), RANGE_SHIFT))
+    rows = drop_null_keys(df, groups).withColumn("_h", mix(key, seed)).withColumn("_r", F.shiftright(F.col("_h"), RANGE_SHIFT))
     counts = rows.groupBy(*groups, "_r").agg(F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy(*groups).orderBy("_r").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(*groups, "_r", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     local = F.row_number().over(W.partitionBy(*groups, "_r").orderBy("_h", key))
-    same = [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in [*groups, "_r"]]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    joined = rows.withColumn("_local", local).alias("a").join(offsets.alias("b"), cond)
-    return joined.select(*[F.col(f"a.{c}") for c in df.columns], (F.col("_local") + F.col("_before")).cast("bigint").alias(name))
+    placed = rows.withColumn("_local", local).join(offsets, [*groups, "_r"])
+    return placed.select(*df.columns, (F.col("_local") + F.col("_before")).cast("bigint").alias(name))
 
 
 def holdout(df: DataFrame, key: str, frac: float = 0.5, seed: int = 66, name: str = "part") -> DataFrame:

@@ -30,16 +30,17 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropna(how="any", subset=list(keys)) if keys else df
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's own upper estimate of the size of df; None where it cannot be read."""
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the tables df reads, by Catalyst's statistics (after column pruning); None where they cannot be read."""
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     except Exception:
         return None
 
 
 def is_small(df: DataFrame) -> bool:
-    size = estimated_bytes(df)
+    size = input_bytes(df)
     return size is not None and size <= SMALL_BYTES
 
 
@@ -79,28 +80,38 @@ def numeric_order(df: DataFrame, name: str) -> Column | None:
     return None
 
 
-def bounds_tree(x: Column, bounds: Sequence[float]) -> Column:
+def bounds_tree(x: Column, bounds: Sequence) -> Column:
     """Number of bounds that are <= x, as a balanced CASE tree (log2 comparisons per row, all in codegen)."""
     def build(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(x < F.lit(float(bounds[mid])), build(lo, mid)).otherwise(build(mid + 1, hi))
+        return F.when(x < F.lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
     return build(0, len(bounds))
 
 
+def _text_bounds(df: DataFrame, name: str, slices: int) -> list[str]:
+    """Bounds for a text column: every 20th of the distinct values with the smallest hashes, in byte order."""
+    some = df.select(name).where(F.col(name).isNotNull()).distinct().orderBy(F.xxhash64(name)).limit(slices * 20).collect()
+    values = sorted((r[0] for r in some), key=lambda v: v.encode("utf-8"))
+    return values[:: max(len(values) // slices, 1)][1:]
+
+
 def order_slice(df: DataFrame, name: str, slices: int = SLICES) -> Column | None:
-    """Slice number of each row: equal-depth ranges of one order column, NULL order values lowest.
+    """Slice number of each row: ranges of one order column of about equal depth, NULL order values lowest.
 
-    The bounds are read once into literals (at most ``slices`` numbers), so that every later use of the slice gives
-    the same number for the same value, whatever is recomputed.
+    The bounds are read once into literals (at most ``slices`` values), so that every later use of the slice gives
+    the same number for the same value, whatever is recomputed. Any bounds give right results; good ones even sizes.
     """
-    x = numeric_order(df, name)
-    if x is None:
-        return None
-    probs = [i / slices for i in range(1, slices)]
-    found = df.agg(F.percentile_approx(x, F.array(*[F.lit(p) for p in probs]), slices * 20).alias("b")).first()["b"]
-    bounds = sorted({float(b) for b in found or []})
+    if isinstance(df.schema[name].dataType, T.StringType):
+        x, bounds = F.col(name), _text_bounds(df, name, slices)
+    else:
+        x = numeric_order(df, name)
+        if x is None:
+            return None
+        probs = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+        found = df.agg(F.percentile_approx(x, probs, slices * 20).alias("b")).first()["b"]
+        bounds = sorted({float(b) for b in found or []})
     if not bounds:
         return F.lit(0)
     return F.when(x.isNull(), F.lit(-1)).otherwise(bounds_tree(x, bounds))

@@ -41,16 +41,25 @@ def _complete(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
+def block_path(df: DataFrame, name: str, data_key: str, root: str | None = None, params: str = "") -> str:
+    return f"{root or shared_dir(df.sparkSession) + '/relfold-blocks'}/{name}/{data_key}-{spec_hash(df, data_key, params)}"
+
+
 def materialize(df: DataFrame, name: str, data_key: str, root: str | None = None, params: str = "") -> DataFrame:
     """Store the block under (name, data_key, spec hash) unless a complete copy is there; return the stored block."""
     spark = df.sparkSession
-    path = f"{root or shared_dir(spark) + '/relfold-blocks'}/{name}/{data_key}-{spec_hash(df, data_key, params)}"
+    path = block_path(df, name, data_key, root, params)
     if not _complete(spark, path):
         df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
-    """Store the block as a table bucketed and sorted by the entity; such blocks join without a shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
-    return df.sparkSession.table(table)
+def materialize_bucketed(df: DataFrame, name: str, data_key: str, key: str, buckets: int, root: str | None = None, params: str = "") -> DataFrame:
+    """The same as a table bucketed and sorted by the entity: blocks with equal bucket counts join without a shuffle."""
+    spark = df.sparkSession
+    path = block_path(df, name, data_key, root, f"{params}|{key}|{buckets}")
+    table = f"relfold_{name}_{hashlib.sha256(path.encode()).hexdigest()[:16]}"
+    if not spark.catalog.tableExists(table):
+        rows = df.repartition(buckets, key)
+        rows.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(table)
+    return spark.table(table)

@@ -68,24 +68,26 @@ def _refine(df: DataFrame, keys: list[str], name: str, probs: Sequence[float]) -
     return picked.groupBy(*keys).agg(*cols)
 
 
+def exact_quantiles(df: DataFrame, keys: list[str], name: str, probs: Sequence[float] = (0.5,)) -> DataFrame:
+    """Every key of df with its quantiles by refinement; NULL where the key has no value."""
+    return df.select(*keys).distinct().join(_refine(df, keys, name, probs), keys, "left")
+
+
 def _plain(df: DataFrame, keys: list[str], name: str, probs: Sequence[float]) -> DataFrame:
     values = F.percentile(F.col(name).cast("double"), F.array(*[F.lit(float(p)) for p in probs]))
     out = df.groupBy(*keys).agg(values.alias("_q"))
     return out.select(*keys, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
 
 
-def group_quantiles(df: DataFrame, key, name: str, probs: Sequence[float] = (0.5,), hot_rows: int | None = None,
-                    hot: DataFrame | None = None) -> DataFrame:
+def group_quantiles(df: DataFrame, key, name: str, probs: Sequence[float] = (0.5,), hot_rows: int | None = None) -> DataFrame:
     """Exact quantiles q0, q1, ... of ``name`` per key, linear interpolation, NULLs ignored."""
     keys = as_list(key)
     df = drop_null_keys(df.select(*keys, name), keys)
-    if hot is None:
-        hot = hot_keys(df, keys, hot_rows)
+    hot = hot_keys(df, keys, hot_rows)
     if hot is None:
         return _plain(df, keys, name, probs)
     cold_rows, hot_rows_df = split_hot(df, keys, hot)
-    refined = hot.join(_refine(hot_rows_df, keys, name, probs), keys, "left")
-    return _plain(cold_rows, keys, name, probs).unionByName(refined)
+    return _plain(cold_rows, keys, name, probs).unionByName(exact_quantiles(hot_rows_df, keys, name, probs))
 
 
 def table_quantiles(df: DataFrame, name: str, probs: Sequence[float], force_refine: bool = False) -> DataFrame:

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relfold.functions.aggregates import DISTINCT, HOLISTIC, aggregate_text
-from relfold.operators.hotkeys import as_list, drop_null_keys, hot_keys
-from relfold.operators.quantile import group_quantiles
+from relfold.operators.hotkeys import as_list, drop_null_keys, hot_keys, split_hot
+from relfold.operators.quantile import exact_quantiles
 
 Spec = Mapping[str, Sequence[str]]
 
@@ -62,6 +62,13 @@ def fold(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFram
     return df.sparkSession.sql(f"SELECT {names}, {', '.join(columns)} FROM {{rows}} GROUP BY {names}", rows=df)
 
 
+def with_text(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Add or replace columns given as SQL text, in one projection."""
+    old = df.columns
+    kept = [f"{columns[c]} AS {c}" if c in columns else c for c in old]
+    return df.selectExpr(*kept, *[f"{e} AS {n}" for n, e in columns.items() if n not in old])
+
+
 def _named_conditions(df: DataFrame, items: Sequence[Item]) -> tuple[DataFrame, list[Item]]:
     """Conditions given as Columns become boolean row columns that the SQL text can name."""
     new = {f"_cond{k}": i.cond for k, i in enumerate(items) if isinstance(i.cond, Column)}
@@ -71,33 +78,62 @@ def _named_conditions(df: DataFrame, items: Sequence[Item]) -> tuple[DataFrame,
     return df.withColumns(new), texts
 
 
-def rollup_items(df: DataFrame, key, items: Sequence[Item], order: Sequence[str] | None = None,
-                 extra: Sequence[str] = (), hot_rows: int | None = None) -> DataFrame:
-    """One row per key with every item, plus any extra aggregate columns ("text AS name")."""
+# With more aggregates than this, one partial buffer is wider than the few rows of a key that meet in one map task.
+WIDE = 32
+
+
+def rollup_items(df: DataFrame, key, items: Sequence[Item], order: Sequence[str] | None = None, extra: Sequence[str] = (),
+                 hot_rows: int | None = None, derive: Sequence[Mapping[str, str]] = (), together: Sequence[str] | None = None) -> DataFrame:
+    """One row per key with every item, plus any extra aggregate columns ("text AS name").
+
+    A narrow roll-up combines on the map side and shuffles buffers. A wide one shuffles the pruned input rows by the
+    key and folds them there, because hundreds of partial aggregates per key outweigh the rows they stand for; only
+    hot keys keep the map-side combine. ``derive`` adds row columns after that shuffle. ``together`` (some of the
+    keys) asks for the shuffle by those, so that a following roll-up by them needs none.
+    """
     keys = as_list(key)
-    df, items = _named_conditions(drop_null_keys(df, keys), items)
     order = as_list(order) if order else None
-    distinct = [i for i in items if i.fn in DISTINCT]
+    names = [i.name for i in items]
+    df = drop_null_keys(df, keys)
+    wide = len(items) + len(extra) > WIDE
+    place = as_list(together or keys)
     medians = [i for i in items if i.fn in HOLISTIC]
-    hot = hot_keys(df, keys, hot_rows) if medians else None
-    inline = [i for i in items if i.fn not in DISTINCT and (i.fn not in HOLISTIC or hot is None)]
-    parts = []
-    if inline or extra:
-        parts.append(fold(df, keys, [*[f"{aggregate_text(i.fn, i.source, i.cond, order)} AS {i.name}" for i in inline], *extra]))
-    for source in dict.fromkeys(i.source for i in distinct):
-        parts.append(_distinct_counts(df, keys, source, [i for i in distinct if i.source == source]))
-    if hot is not None:
-        for i in medians:
+    hot = hot_keys(df, place, hot_rows) if medians or wide else None
+
+    def prepare(rows: DataFrame) -> tuple[DataFrame, list[Item]]:
+        for stage in derive:
+            rows = with_text(rows, stage)
+        return _named_conditions(rows, items)
+
+    def plain(rows: DataFrame, kept: Sequence[Item]) -> DataFrame | None:
+        columns = [*[f"{aggregate_text(i.fn, i.source, i.cond, order)} AS {i.name}" for i in kept], *extra]
+        return fold(rows, keys, columns) if columns else None
+
+    def combine(parts: list[DataFrame | None]) -> DataFrame:
+        out, *rest = [p for p in parts if p is not None]
+        for part in rest:
+            out = out.join(part, keys, "left")
+        return out.select(*keys, *names, *[c for c in out.columns if c not in keys and c not in set(names)]) if rest else out
+
+    def distinct_parts(rows: DataFrame, of: Sequence[Item]) -> list[DataFrame]:
+        distinct = [i for i in of if i.fn in DISTINCT]
+        return [_distinct_counts(rows, keys, c, [i for i in distinct if i.source == c]) for c in dict.fromkeys(i.source for i in distinct)]
+
+    def by_key(rows: DataFrame) -> DataFrame:
+        rows, named = prepare(rows.repartition(*place) if wide else rows)
+        return combine([plain(rows, [i for i in named if i.fn not in DISTINCT]), *distinct_parts(rows, named)])
+
+    if hot is None:
+        return by_key(df)
+    cold, heavy = split_hot(df, place, hot)
+    heavy, named = prepare(heavy)
+    parts = [plain(heavy, [i for i in named if i.fn not in DISTINCT | HOLISTIC]), *distinct_parts(heavy, named)]
+    for i in named:
+        if i.fn in HOLISTIC:
             x = i.source if i.cond is None else f"CASE WHEN {i.cond} THEN {i.source} END"
-            one = group_quantiles(df.selectExpr(*keys, f"{x} AS _x"), keys, "_x", hot=hot)
+            one = exact_quantiles(heavy.selectExpr(*keys, f"{x} AS _x"), keys, "_x")
             parts.append(one.select(*keys, F.col("q0").alias(i.name)))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.join(part, keys, "left")
-    if len(parts) == 1:
-        return out
-    names = [i.name for i in items]
-    return out.select(*keys, *names, *[c for c in out.columns if c not in keys and c not in set(names)])
+    return by_key(cold).unionByName(combine(parts))
 
 
 def rollup(df: DataFrame, key, spec: Spec, order=None, prefix: str = "", suffix: str = "",

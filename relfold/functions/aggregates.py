@@ -1,8 +1,8 @@
 """Named aggregate functions, each usable in any roll-up spec ``{column: [function, ...]}``.
 
-``aggregate`` turns one (column, function) pair into an aggregate ``Column``. All of them except ``median`` and
-``nunique`` are algebraic: Spark combines them on the map side, so a key holding most rows costs one buffer per
-map task. ``median`` and ``nunique`` are planned separately by ``operators.rollup``.
+All of them except ``median`` and ``nunique`` are algebraic: Spark combines them on the map side, so a key holding
+most rows costs one buffer per map task. ``median`` and ``nunique`` need the distinct values of the group in one
+task; ``operators.rollup`` uses these forms only for keys of bounded size and has another way for the others.
 """
 
 from __future__ import annotations
@@ -67,6 +67,7 @@ def aggregate_text(fn: str, name: str, cond: str | None = None, order: Sequence[
         "count": n, "size": rows, "sum": f"coalesce(sum({name}){only}, 0)", "mean": f"avg({name}){only}", "min": f"min({name}){only}",
         "max": f"max({name}){only}", "std": f"stddev_samp({name}){only}", "var": f"var_samp({name}){only}",
         "range": f"max({name}){only} - min({name}){only}", "kurt": f"kurtosis({name}){only}", "median": f"median({name}){only}",
+        "nunique": f"bigint(size(collect_set({name}){only}))",
         # adjusted for the group size; 0 where all values are equal
         "skew": f"CASE WHEN {n} >= 3 THEN coalesce(skewness({name}){only} * sqrt(double({n}) * ({n} - 1)) / nullif({n} - 2, 0), 0) END",
     }

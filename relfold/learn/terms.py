@@ -15,6 +15,7 @@ from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from relfold.operators.hotkeys import spread
 from relfold.operators.ordered import with_position
 
 # fixed pattern: runs of letters, digits and underscores in any script
@@ -26,7 +27,8 @@ ALS_IDS = 2**31 - 1
 def raw_term_counts(df: DataFrame, key: str, token: str) -> DataFrame:
     """(id, term, n) over the lower-cased terms of a text or category column."""
     words = F.explode(F.regexp_extract_all(F.lower(F.col(token).cast("string")), F.lit(TERM), F.lit(1)))
-    return df.where(F.col(key).isNotNull()).select(key, words.alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
+    rows = spread(df.select(key, token).where(F.col(key).isNotNull()))
+    return rows.select(key, words.alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def document_frequency(counts: DataFrame, min_df: int = 2) -> DataFrame:

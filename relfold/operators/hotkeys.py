@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Rows of one key that a single task may sort.
-HOT_ROWS = 5_000_000
+HOT_ROWS = 1_000_000
 # An input this small fits one task even if all of it shares one key, so no search is needed.
 SMALL_BYTES = 64 * 1024 * 1024
 # The hottest keys are carried as a local table; this bounds it (and so what is broadcast).
@@ -44,6 +44,12 @@ def is_small(df: DataFrame) -> bool:
     return size is not None and size <= SMALL_BYTES
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small input that arrives in few splits, over all cores; for work that costs far more than moving the rows."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if is_small(df) and df.rdd.getNumPartitions() < cores else df
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
     """Keys with more than ``hot_rows`` rows as a bounded local table, or None if there are none.
 

@@ -1,9 +1,9 @@
 """Roll-ups: one or two levels of history folded into one row per key.
 
 All algebraic aggregates of a roll-up, over any number of trailing windows and conditions, share one scan and one
-shuffle; they are combined on the map side, so a hot key costs one buffer per map task. Distinct counts run as a
-separate narrow pass (Spark first de-duplicates on the map side by key and value). Exact medians use Spark's
-``median`` for ordinary keys and value refinement for hot ones.
+shuffle. Exact medians and distinct counts of ordinary keys are part of it. For hot keys distinct counts first
+de-duplicate by key and value, medians use value refinement, and everything else combines on the map side, so a hot
+key costs one buffer per map task.
 """
 
 from __future__ import annotations
@@ -93,47 +93,44 @@ def rollup_items(df: DataFrame, key, items: Sequence[Item], order: Sequence[str]
     """
     keys = as_list(key)
     order = as_list(order) if order else None
-    names = [i.name for i in items]
     df = drop_null_keys(df, keys)
     wide = len(items) + len(extra) > WIDE
     place = as_list(together or keys)
-    medians = [i for i in items if i.fn in HOLISTIC]
-    hot = hot_keys(df, place, hot_rows) if medians or wide else None
+    holistic = [i for i in items if i.fn in HOLISTIC | DISTINCT]
+    hot = hot_keys(df, place, hot_rows) if holistic or wide else None
 
     def prepare(rows: DataFrame) -> tuple[DataFrame, list[Item]]:
         for stage in derive:
             rows = with_text(rows, stage)
         return _named_conditions(rows, items)
 
-    def plain(rows: DataFrame, kept: Sequence[Item]) -> DataFrame | None:
-        columns = [*[f"{aggregate_text(i.fn, i.source, i.cond, order)} AS {i.name}" for i in kept], *extra]
-        return fold(rows, keys, columns) if columns else None
-
-    def combine(parts: list[DataFrame | None]) -> DataFrame:
-        out, *rest = [p for p in parts if p is not None]
-        for part in rest:
-            out = out.join(part, keys, "left")
-        return out.select(*keys, *names, *[c for c in out.columns if c not in keys and c not in set(names)]) if rest else out
-
-    def distinct_parts(rows: DataFrame, of: Sequence[Item]) -> list[DataFrame]:
-        distinct = [i for i in of if i.fn in DISTINCT]
-        return [_distinct_counts(rows, keys, c, [i for i in distinct if i.source == c]) for c in dict.fromkeys(i.source for i in distinct)]
+    def columns(of: Sequence[Item]) -> list[str]:
+        return [*[f"{aggregate_text(i.fn, i.source, i.cond, order)} AS {i.name}" for i in of], *extra]
 
     def by_key(rows: DataFrame) -> DataFrame:
+        # no key here has more than HOT_ROWS rows, so exact medians and distinct sets fit one task
         rows, named = prepare(rows.repartition(*place) if wide else rows)
-        return combine([plain(rows, [i for i in named if i.fn not in DISTINCT]), *distinct_parts(rows, named)])
+        return fold(rows, keys, columns(named))
 
     if hot is None:
         return by_key(df)
     cold, heavy = split_hot(df, place, hot)
     heavy, named = prepare(heavy)
-    parts = [plain(heavy, [i for i in named if i.fn not in DISTINCT | HOLISTIC]), *distinct_parts(heavy, named)]
+    parts = []
+    simple = columns([i for i in named if i.fn not in HOLISTIC | DISTINCT])
+    if simple:
+        parts.append(fold(heavy, keys, simple))
+    distinct = [i for i in named if i.fn in DISTINCT]
+    parts += [_distinct_counts(heavy, keys, c, [i for i in distinct if i.source == c]) for c in dict.fromkeys(i.source for i in distinct)]
     for i in named:
         if i.fn in HOLISTIC:
             x = i.source if i.cond is None else f"CASE WHEN {i.cond} THEN {i.source} END"
             one = exact_quantiles(heavy.selectExpr(*keys, f"{x} AS _x"), keys, "_x")
             parts.append(one.select(*keys, F.col("q0").alias(i.name)))
-    return by_key(cold).unionByName(combine(parts))
+    done = parts[0]
+    for part in parts[1:]:
+        done = done.join(part, keys, "left")
+    return by_key(cold).unionByName(done)
 
 
 def rollup(df: DataFrame, key, spec: Spec, order=None, prefix: str = "", suffix: str = "",

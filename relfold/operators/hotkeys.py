@@ -27,7 +27,9 @@ def as_list(names: str | Sequence[str]) -> list[str]:
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows without a key belong to no group."""
-    return df.dropna(how="any", subset=list(keys)) if keys else df
+    for k in keys:
+        df = df.where(F.col(k).isNotNull())
+    return df
 
 
 def input_bytes(df: DataFrame) -> int | None:

@@ -84,34 +84,37 @@ def _sliced_shift(df: DataFrame, keys: list[str], order: list[str], value: str,
     return whole.select(*df.columns, name)
 
 
-def _shift(df, key, order, value, n, name, descending, hot_rows):
+def _shift(df, key, order, value, n, name, descending, hot_rows, together):
     keys, order = as_list(key), as_list(order)
+    place = as_list(together or keys)
     df = drop_null_keys(df, keys)
     plain = F.lag(value, n).over(_window(keys, order, descending))
-    hot = hot_keys(df, keys, hot_rows)
-    if hot is None:
-        return df.withColumn(name, plain)
-    cold, heavy = split_hot(df, keys, hot)
-    return cold.withColumn(name, plain).unionByName(_sliced_shift(heavy, keys, order, value, n, name, descending))
+    hot = hot_keys(df, place, hot_rows)
+    cold, heavy = split_hot(df, place, hot) if hot is not None else (df, None)
+    out = (cold.repartition(*place) if together else cold).withColumn(name, plain)
+    return out if heavy is None else out.unionByName(_sliced_shift(heavy, keys, order, value, n, name, descending))
 
 
 def lag_value(df: DataFrame, key, order, value: str, n: int = 1, name: str | None = None,
-              hot_rows: int | None = None) -> DataFrame:
-    """Add the value n rows earlier inside the key."""
-    return _shift(df, key, order, value, n, name or f"{value}_lag", False, hot_rows)
+              hot_rows: int | None = None, together=None) -> DataFrame:
+    """Add the value n rows earlier inside the key.
+
+    ``together`` (some of the keys) asks for the shuffle by those, so that a following roll-up by them needs none.
+    """
+    return _shift(df, key, order, value, n, name or f"{value}_lag", False, hot_rows, together)
 
 
 def lead_value(df: DataFrame, key, order, value: str, n: int = 1, name: str | None = None,
-               hot_rows: int | None = None) -> DataFrame:
+               hot_rows: int | None = None, together=None) -> DataFrame:
     """Add the value n rows later inside the key."""
-    return _shift(df, key, order, value, n, name or f"{value}_lead", True, hot_rows)
+    return _shift(df, key, order, value, n, name or f"{value}_lead", True, hot_rows, together)
 
 
 def lag_diff(df: DataFrame, key, order, value: str, n: int = 1, name: str | None = None,
-             hot_rows: int | None = None) -> DataFrame:
+             hot_rows: int | None = None, together=None) -> DataFrame:
     """Add value minus the value n rows earlier."""
     name = name or f"{value}_diff"
-    return lag_value(df, key, order, value, n, name, hot_rows).withColumn(name, F.col(value) - F.col(name))
+    return lag_value(df, key, order, value, n, name, hot_rows, together).withColumn(name, F.col(value) - F.col(name))
 
 
 def _nth(df, key, order, value, n, name, descending):
@@ -134,6 +137,21 @@ def nth_from_first(df: DataFrame, key, order, value, n: int = 0, name=None) -> D
     return _nth(df, key, order, value, n, name, False)
 
 
+def edge_rows(df: DataFrame, key, order, columns: Sequence[str], n: int) -> DataFrame:
+    """The last n and first n rows of each key side by side: {column}_last_time{i} and {column}_first_time{i}.
+
+    One pass per side; each keeps at most n rows per key on the map side.
+    """
+    keys, order = as_list(key), as_list(order)
+    sides = []
+    for side, descending in (("last", True), ("first", False)):
+        rows = drop_null_keys(df, keys).select(*dict.fromkeys([*keys, *order, *columns]))
+        rows = rows.withColumn("_nth", F.row_number().over(_window(keys, order, descending))).where(F.col("_nth") <= n)
+        picks = [F.max(F.when(F.col("_nth") == i + 1, F.col(c))).alias(f"{c}_{side}_time{i}") for i in range(n) for c in columns]
+        sides.append(rows.groupBy(*keys).agg(*picks))
+    return sides[0].join(sides[1], keys, "left")
+
+
 def trend(df: DataFrame, key, order, value: str, name: str = "trend", hot_rows: int | None = None) -> DataFrame:
     """Least-squares slope of the value over its position; NULL if any value is NULL, 0 for a single row."""
     keys = as_list(key)

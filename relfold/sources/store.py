@@ -13,12 +13,15 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+_fallback: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder; a temporary one only where the session names none (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="relfold-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        found = _fallback.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="relfold-")
+        _fallback[spark.sparkContext.applicationId] = found
     return found.rstrip("/")
 
 

@@ -112,3 +112,17 @@ def test_small_inputs_are_not_searched(spark, sf_dir):
     assert hotkeys.is_small(orders) and hotkeys.hot_keys(orders, ["o_custkey"]) is None
     found = hotkeys.hot_keys(orders, ["o_orderstatus"], 10)
     assert {r[0] for r in found.collect()} == {"F", "O", "P"}
+
+
+@pytest.mark.parametrize("hot_rows", [None, 0, 500])
+def test_lag_inside_a_part_of_the_key(skewed, hot_rows):
+    plain = ordered.lag_diff(skewed, ["k", "c"], ["t", "id"], "v")
+    same(plain, ordered.lag_diff(skewed, ["k", "c"], ["t", "id"], "v", hot_rows=hot_rows, together="k"))
+
+
+def test_edge_rows_equal_nth_rows(skewed):
+    wide = {r["k"]: r for r in ordered.edge_rows(skewed, "k", ["t", "id"], ["v", "id"], 2).collect()}
+    for pick, side in ((ordered.nth_from_last, "last"), (ordered.nth_from_first, "first")):
+        for i in range(2):
+            for r in pick(skewed, "k", ["t", "id"], ["v", "id"], i).collect():
+                assert (wide[r["k"]][f"v_{side}_time{i}"], wide[r["k"]][f"id_{side}_time{i}"]) == (r["v"], r["id"])

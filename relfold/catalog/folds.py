@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from relfold.catalog.base import CARD, CONTRACT, CREDIT, CREDIT_MONTH, DETAIL, INSTALMENT, SNAPSHOT, query, r, sql_aggregate, sql_spec
+from relfold.catalog.base import CARD, CONTRACT, CREDIT, CREDIT_MONTH, INSTALMENT, SNAPSHOT, query, r, sql_spec
 from relfold.functions.aggregates import nunique_with_null
 from relfold.operators import relational as rel
 from relfold.operators import rollup as fold
@@ -90,8 +90,6 @@ def multi_key_join(spark, sf_dir):
 
 # ---------------------------------------------------------------- aggregate functions
 
-CREDIT_ORDER = ORDER
-
 
 def spec_query(name, spec, role=roles.credit, cte=CREDIT, table="credit", key=E, order=None, order_sql=ORDER_SQL, digits=4):
     sql = f"WITH {cte} SELECT {key}, {sql_spec(spec, order=order_sql, digits=digits)} FROM {table} GROUP BY 1"

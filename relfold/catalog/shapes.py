@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from relfold.catalog.base import CONTRACT, CREDIT, DETAIL, day, query, r, ra, sql_spec
+from relfold.catalog.base import CONTRACT, query, r, ra, sql_spec
 from relfold.catalog.rows import hashed
 from relfold.operators import encode, evaluate, interval, ordered
-from relfold.operators.relational import append
-from relfold.operators.rollup import column_label, rollup
+from relfold.operators.rollup import rollup
 from relfold.sources import roles
 from relfold.sources.tables import driver_table
 
@@ -118,8 +117,6 @@ def horizon_trend(spark, sf_dir):
 
 # ---------------------------------------------------------------- encodings
 
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-
 
 @query("one_hot", "SELECT o_orderkey, " + ", ".join(f"CASE WHEN o_orderstatus = '{s}' THEN 1 ELSE 0 END AS o_orderstatus_{s.lower()}" for s in "FOP") + """,
   CASE WHEN o_orderstatus IS NULL THEN 1 ELSE 0 END AS o_orderstatus_null FROM orders""")

@@ -116,7 +116,7 @@ s AS (SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][((row_number()
 o AS (SELECT *, sum(source_size) OVER () AS total, sum(weight) OVER () AS weights,
   coalesce(sum(3 * source_size) OVER w, 0) AS caps, coalesce(sum(weight) OVER w, 0) AS gone, 3 * source_size / weight::DOUBLE AS bound
   FROM s WINDOW w AS (ORDER BY 3 * source_size / weight::DOUBLE, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-l AS (SELECT min(level) AS level FROM (SELECT (total - caps)::DOUBLE / (weights - gone)::DOUBLE AS level, bound FROM o) WHERE level <= bound),
+l AS (SELECT arg_min(level, gone) AS level FROM (SELECT (total - caps)::DOUBLE / (weights - gone)::DOUBLE AS level, bound, gone FROM o) WHERE level <= bound),
 t AS (SELECT source, source_size, CASE WHEN 3 * source_size < weight * level THEN (3 * source_size)::DOUBLE ELSE weight * level END AS target FROM o, l),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM t),
 p AS (SELECT d.*, source_size, target, epochs, floor(target - epochs * source_size + 0.5)::BIGINT AS rest,

@@ -42,7 +42,11 @@ class Roller:
         self.grow(1 << 16)
 
     def grow(self, n: int) -> None:
-        series = lambda m: np.multiply.accumulate(np.concatenate(([1], np.full(n, m, np.uint64))).astype(np.uint64))
+        def series(m: int) -> np.ndarray:
+            factors = np.full(n, m, np.uint64)
+            factors[0] = 1
+            return np.multiply.accumulate(factors)
+
         self.powers, self.inverses = series(self.multiplier), series(self.inverse)
 
     def hashes(self, found: list[bytes], lengths: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:

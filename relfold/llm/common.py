@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # White space that separates words: the ASCII blanks, nothing else.
 BLANKS = r"[\x20\x09-\x0D]+"
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder that the session names in spark.checkpoint.dir; a temporary one only where the setting is unset (tests)."""
@@ -22,9 +24,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The same rows, written to the shared checkpoint folder; later reads survive lost executors and repeat no work."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """The same rows, written to the shared checkpoint folder; later reads survive lost executors and repeat no work.
+
+    The shuffle files of the step are deleted with its end, else those of all steps pile up on the executors' disks.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint()  # a plan made under the setting
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
 def pieces(text: Column) -> Column:

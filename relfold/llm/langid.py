@@ -34,12 +34,12 @@ def gram_counts(text: str, letters: np.ndarray, size: int = SIZE) -> tuple[np.nd
     """Distinct n-grams (code points packed in 21 bits each) and their counts."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     is_letter = letters[codes]
+    if not is_letter.any():
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
     codes = np.where(is_letter, codes, 32)
     keep = is_letter.copy()
     keep[1:] |= is_letter[:-1]  # one blank after each word
-    codes = np.concatenate(([32], codes[keep], [32])).astype(np.uint64)
-    if not is_letter.any():
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    codes = np.concatenate(([32], codes[keep], [32] if is_letter[-1] else [])).astype(np.uint64)
     grams = np.zeros(max(len(codes) - size + 1, 0), np.uint64)
     for k in range(size):
         grams = grams << np.uint64(21) | codes[k : len(codes) - size + 1 + k]

@@ -36,7 +36,7 @@ HEAD_CLASSES = HEAD // PER_CLASS
 LETTERS, FOREIGN = 12, 4
 SHAPES = 2 * (1 + FOREIGN + LETTERS)
 SYMBOLS, CLASSES = HEAD + SHAPES, HEAD_CLASSES + SHAPES
-WINDOW, STRIDE, GROUP = 32, 8, 512
+WINDOW, STRIDE, GROUP, TRAIN_GROUP = 32, 8, 512, 128
 # Parts of 8 of the training texts that the rounds take.
 ROUNDS, RATE = (1, 3, 4), 0.1
 
@@ -195,7 +195,7 @@ class Network:
             np.add.at(grads["in"], symbol, given)
             grads["back"] += before.T @ recurrent
             dh[:n] = own * update + recurrent @ w["back"].T + back[ends[t] - n : ends[t]]
-        scale = 1 / float(ends[-1])
+        scale = 1 / float(WINDOW * TRAIN_GROUP)  # windows of few texts weigh less
         for k, g in grads.items():
             g *= scale
             self.squares[k] += g * g
@@ -241,13 +241,13 @@ class Vocabulary:
             if room < 0:
                 break
             self.least = s
-        frequent = counts.where((step >= self.least) & (F.octet_length("word") <= LONGEST)).orderBy(F.desc("c"), "word").toArrow()
+        frequent = counts.where(self.known()).orderBy(F.desc("c"), "word").toArrow()
         self.words: list[bytes] = [w.encode() for w in frequent["word"].to_pylist()]
         self.c = np.asarray(frequent["c"].to_pylist(), np.int64)
 
     def known(self) -> Column:
-        """Whether a row of the counts is sent along."""
-        return (F.floor(F.log2("c") * 8).cast("int") >= self.least) & (F.octet_length("word") <= LONGEST)
+        """Whether a row of the counts is sent along; the end always is."""
+        return (F.floor(F.log2("c") * 8).cast("int") >= self.least) & (F.octet_length("word") <= LONGEST) | (F.col("word") == END)
 
     def class_totals(self, counts: DataFrame) -> None:
         """Tokens and words of each spelling class, outside the head."""
@@ -268,6 +268,15 @@ class Vocabulary:
         for k, n, v in sums:
             self.class_room[k] = n + v + 1
 
+    def start(self) -> np.ndarray:
+        """First weights: small random ones, and biases that make the network a unigram model."""
+        weights = first_weights()
+        head = np.zeros(HEAD)
+        head[: min(HEAD, len(self.c))] = self.c[:HEAD]
+        weights["word_bias"][:] = np.log(head + 1)
+        weights["class_bias"][:] = np.log(np.concatenate((head.reshape(HEAD_CLASSES, PER_CLASS).sum(axis=1) + 1, self.class_room)))
+        return packed(weights)
+
     def sent(self) -> dict:
         """What tasks get: the words, their counts and the size of each spelling class."""
         return {"words": self.words, "c": self.c, "class_room": self.class_room}
@@ -296,11 +305,11 @@ class Reader:
         return places, symbols
 
 
-def grouped(rows: Iterator[tuple[int, np.ndarray]]) -> Iterator[list[tuple[int, np.ndarray]]]:
+def grouped(rows: Iterator[tuple[int, np.ndarray]], size: int = GROUP) -> Iterator[list[tuple[int, np.ndarray]]]:
     """Texts of about equal length together, longest first."""
     ordered = sorted(rows, key=lambda r: -len(r[1]))
-    for at in range(0, len(ordered), GROUP):
-        yield ordered[at : at + GROUP]
+    for at in range(0, len(ordered), size):
+        yield ordered[at : at + size]
 
 
 # ------------------------------------------------------------------ training and scoring
@@ -309,7 +318,7 @@ def fit(docs: DataFrame, vocabulary: Vocabulary, doc_id: str, text: str, rounds:
     """Weights as one flat array, after a round for each part of the training texts."""
     ctx = docs.sparkSession.sparkContext
     known = ctx.broadcast(vocabulary.sent())
-    flat, done = packed(first_weights()), 0
+    flat, done = vocabulary.start(), 0
     part = F.pmod(F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit("round")), F.lit(sum(rounds)))
     for share in rounds:
         start = ctx.broadcast(flat)
@@ -319,7 +328,7 @@ def fit(docs: DataFrame, vocabulary: Vocabulary, doc_id: str, text: str, rounds:
             turn = 0
             with np.errstate(over="ignore"):
                 for batch in batches:
-                    for group in grouped((i, reader.read(tokens(t))[1]) for i, t in enumerate(raw_texts(batch.column(0)))):
+                    for group in grouped(((i, reader.read(tokens(t))[1]) for i, t in enumerate(raw_texts(batch.column(0)))), TRAIN_GROUP):
                         network.train([s for _, s in group], turn)
                         turn += 1
                         weight += sum(len(s) for _, s in group)
@@ -409,7 +418,8 @@ def score(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str =
     scored = stored(network_scores(docs, vocabulary, flat, doc_id, text))
     # rows that share id and text have sent their rare words once each
     times = scored.groupBy("id", "tw").agg(F.count(F.lit(1)).alias("times"))
-    sums = rare.join(times, ["id", "tw"]).select(F.col("id").alias("r_id"), F.col("tw").alias("r_tw"), (F.col("rare_log") / F.col("times")).alias("rare_log"), (F.col("rare_known") / F.col("times")).cast("long").alias("rare_known"))
+    same = F.col("r.id").eqNullSafe(F.col("n.id")) & (F.col("r.tw") == F.col("n.tw"))
+    sums = rare.alias("r").join(times.alias("n"), same).select(F.col("r.id").alias("r_id"), F.col("r.tw").alias("r_tw"), (F.col("rare_log") / F.col("times")).alias("rare_log"), (F.col("rare_known") / F.col("times")).cast("long").alias("rare_known"))
     out = scored.join(sums, F.col("id").eqNullSafe(F.col("r_id")) & (F.col("tw") == F.col("r_tw")), "left").na.fill(0, ["rare_log", "rare_known"])
     room = float(np.log10(vocabulary.n + vocabulary.v + 1))
     return out.select(

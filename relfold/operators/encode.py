@@ -16,13 +16,27 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
+def one_to_one(values) -> dict:
+    """A label for each value; values whose labels would be equal get a number, in the order of the values."""
+    out, taken = {}, set()
+    for v in values:
+        label = base = column_label(v)
+        n = 1
+        while label in taken:
+            n += 1
+            label = f"{base}_{n}"
+        taken.add(label)
+        out[v] = label
+    return out
+
+
 def one_hot(df: DataFrame, cols=None, null_category: bool = True, keep_source: bool = False, limit: int = 1000) -> tuple[DataFrame, list[str]]:
     """0/1 column per category value; returns the table and the new column names."""
     cols = text_columns(df) if cols is None else as_list(cols)
     new = {}
     for c in cols:
-        for v in pivot_values(df, c, limit):
-            new[f"{c}_{column_label(v)}"] = F.coalesce(F.col(c) == F.lit(v), F.lit(False)).cast("int")
+        for v, label in one_to_one(pivot_values(df, c, limit)).items():
+            new[f"{c}_{label}"] = F.coalesce(F.col(c) == F.lit(v), F.lit(False)).cast("int")
         if null_category:
             new[f"{c}_null"] = F.col(c).isNull().cast("int")
     out = df.withColumns(new) if new else df

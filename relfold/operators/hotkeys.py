@@ -16,8 +16,6 @@ from pyspark.sql import types as T
 HOT_ROWS = 1_000_000
 # An input this small fits one task even if all of it shares one key, so no search is needed.
 SMALL_BYTES = 64 * 1024 * 1024
-# The hottest keys are carried as a local table; this bounds it (and so what is broadcast).
-MAX_HOT_KEYS = 10_000
 SLICES = 256
 
 
@@ -33,12 +31,12 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def input_bytes(df: DataFrame) -> int | None:
-    """Bytes of the tables df reads, by Catalyst's statistics (after column pruning); None where they cannot be read."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    except Exception:
+    """Bytes of the tables df reads, by Catalyst's statistics (after column pruning); None on a session that has no access to its plans."""
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
         return None
+    leaves = plan.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def is_small(df: DataFrame) -> bool:
@@ -53,7 +51,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows as a bounded local table, or None if there are none.
+    """Keys with more than ``hot_rows`` rows as a local table, or None if there are none. All of them: there are at most rows / hot_rows.
 
     With the default threshold small inputs are not searched. The search reads the key columns only and counts on
     the map side.
@@ -63,8 +61,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) ->
             return None
         hot_rows = HOT_ROWS
     found = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS).select(*keys)
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows).select(*keys)
     )
     rows = found.collect()
     return df.sparkSession.createDataFrame(rows, found.schema) if rows else None

@@ -19,9 +19,10 @@ BUCKETS_PER_DOUBLING = 16384
 
 
 def value_bucket(x: Column) -> Column:
-    """Fixed monotone bucket of a number: about 0.004 % wide relative to the value."""
+    """Fixed monotone bucket of a number: about 0.004 % wide relative to the value. Infinities have the end buckets, NaN one beyond them."""
     scaled = F.floor(F.log1p(F.abs(x)) * F.lit(BUCKETS_PER_DOUBLING / 0.6931471805599453))
-    return (F.signum(x) * scaled).cast("bigint")
+    ends = F.when(F.isnan(x), F.lit(1 << 61)).when(x == float("inf"), F.lit(1 << 60)).when(x == float("-inf"), F.lit(-(1 << 60)))
+    return ends.otherwise((F.signum(x) * scaled).cast("bigint"))
 
 
 def _refine(df: DataFrame, keys: list[str], name: str, probs: Sequence[float]) -> DataFrame:

@@ -8,20 +8,13 @@ shuffle.
 from __future__ import annotations
 
 import hashlib
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-_fallback: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder; a temporary one only where the session names none (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = _fallback.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="relfold-")
-        _fallback[spark.sparkContext.applicationId] = found
+    """The cluster's shared scratch folder: spark.checkpoint.dir, or a folder in the warehouse (shared as well) where that is unset. Never a machine's own."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/relfold-scratch"
     return found.rstrip("/")
 
 
@@ -32,8 +25,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def spec_hash(df: DataFrame, data_key: str, params: str = "") -> str:
-    """Changes when the data key, the parameters or the columns of the block change."""
-    text = "|".join([data_key, params, df.schema.simpleString()])
+    """Changes with the data key, the parameters, the columns, the plan (so with every option that shapes it) and the list of input files."""
+    text = "|".join([data_key, params, df.schema.simpleString(), str(df.semanticHash()), *sorted(df.inputFiles())])
     return hashlib.sha256(text.encode()).hexdigest()[:16]
 
 

@@ -201,3 +201,35 @@ def test_nan_never_appears(spark):
     df = spark.createDataFrame([(1, 0.0), (1, 0.0)], "k int, v double")
     got = fold.rollup(df, "k", {"v": ["mean", "std", "var", "skew", "kurt", "median"]}).first()
     assert not any(isinstance(x, float) and math.isnan(x) for x in got)
+
+
+def test_closed_and_active_are_compared_whatever_the_order_of_statuses():
+    from relfold.plans.blocks import card_step, credit_step
+
+    labels = {"Active": "active", "Bad debt": "bad_debt", "Closed": "closed", "Sold": "sold"}
+    named = credit_step(labels, ["Buyer's loan"]).names()
+    assert "closed_active_count_ratio" in named and not any("bad_debt" in n and n.endswith("_count_ratio") for n in named)
+    windows = [i.name for i in card_step(["Completed", "Active"]).items if i.name.startswith("status_") and i.name[:-1].endswith(tuple("0123456789"))]
+    assert windows and all("active" in n for n in windows)
+
+
+def test_labels_are_one_to_one_and_text_is_escaped(spark):
+    from relfold.operators.encode import one_hot
+    from relfold.plans.steps import derive, flags
+
+    df = spark.createDataFrame([(1, "A-b"), (2, "a b"), (3, "Buyer's loan"), (4, None)], "id long, c string")
+    table, names = one_hot(df, ["c"])
+    assert len(names) == len(set(names)) == 4
+    assert [sum(r[n] for n in names) for r in table.collect()] == [1, 1, 1, 1]
+    assert derive(df, [flags("c", ["Buyer's loan"])]).where("c_buyer_s_loan = 1").count() == 1
+    with pytest.raises(ValueError):
+        flags("c", ["A-b", "a b"])
+
+
+def test_buckets_of_special_numbers(spark):
+    from relfold.operators.quantile import value_bucket
+
+    values = [float("-inf"), -1e300, -1.0, -0.0, 0.0, 1.0, 1e300, float("inf"), float("nan")]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, x double")
+    found = [r["b"] for r in df.withColumn("b", value_bucket(df["x"])).orderBy("i").collect()]
+    assert found == sorted(found) and found[3] == found[4] and len(set(found)) == 8

@@ -91,8 +91,14 @@ def test_sources_and_store(spark, tmp_path):
     with pytest.raises(ValueError):
         tables.read_table(spark, str(tmp_path / "csv"))
     first = store.materialize(df, "block", "k", str(tmp_path))
-    again = store.materialize(spark.createDataFrame([(9, "z", 1.0)], df.schema), "block", "k", str(tmp_path))
-    assert again.count() == first.count() == 2
+    again = store.materialize(df, "block", "k", str(tmp_path))
+    assert again.inputFiles() == first.inputFiles() and again.count() == first.count() == 2
+    # other rows, or another plan over the same rows, are another block
+    other = store.materialize(spark.createDataFrame([(9, "z", 1.0)], df.schema), "block", "k", str(tmp_path))
+    assert other.count() == 1
+    source = tables.read_table(spark, str(tmp_path / "csv"), df.schema)
+    paths = {store.block_path(source.where(f"id > {n}"), "block", "k") for n in (0, 1, 0)}
+    assert len(paths) == 2
     assert store.materialize(spark.createDataFrame([(9, "z", 1.0)], df.schema), "block", "k2", str(tmp_path)).count() == 1
     both = tables.labelled_union(spark.createDataFrame([(1, 0)], "id int, label int"), spark.createDataFrame([(2,)], "id int"))
     assert sorted(map(tuple, both.collect())) == [(1, 0), (2, None)]

@@ -289,12 +289,12 @@ def tokens_per_entity(spark, sf_dir):
     return rel.tokens_per(driver_table(spark, sf_dir, "orders"), "o_custkey", "o_orderpriority")
 
 
-HASH = "((m + (m >> 16)) * 69069 + 1) % 2147483648"
+HASH = "((m + (m >> 16)) * 69069 + 1) % 2147483647"
 
 
 def hashed(table: str, key: str, seed: int, columns: str = "") -> str:
     """Table with the seeded hash h of its id, as SQL."""
-    return f"(SELECT *, {HASH} AS h FROM (SELECT {key}{columns}, ({key} % 2147483648 * 1103515245 + {seed}) % 2147483648 AS m FROM {table}))"
+    return f"(SELECT *, {HASH} AS h FROM (SELECT {key}{columns}, ({key} % 2147483648 * 1103515245 + ({key} >> 31) * 1220703125 + {seed}) % 2147483647 AS m FROM {table}))"
 
 
 @query("holdout_split", f"""SELECT c_custkey, CASE WHEN row_number() OVER (ORDER BY h, c_custkey) <= (SELECT round(count(*) * 0.5) FROM customer)

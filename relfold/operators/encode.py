@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relfold.operators.hotkeys import as_list, drop_null_keys
+from relfold.operators.hotkeys import as_list, drop_null_keys, join_spread
 from relfold.operators.quantile import group_quantiles
-from relfold.operators.relational import lookup
 from relfold.operators.rollup import column_label, pivot_values
 
 
@@ -54,7 +53,7 @@ def prune_rare(df: DataFrame, cols, min_count: int = 100) -> tuple[DataFrame, li
 def count_encode(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
     """Number of rows that have the same value."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(name or f"{column}_count"))
-    return df.join(counts, column, "left")
+    return join_spread(df, counts, [column])
 
 
 def factorize(df: DataFrame, column: str, order, name: str | None = None) -> DataFrame:
@@ -69,7 +68,7 @@ def factorize(df: DataFrame, column: str, order, name: str | None = None) -> Dat
     )
     ranks = [f"_o{i}" for i in range(len(as_list(order)))]
     codes = with_position(firsts, "_all", [*ranks, column], "_code").select(column, (F.col("_code") - 1).alias(name))
-    return df.join(codes, column, "left").withColumn(name, F.coalesce(F.col(name), F.lit(-1)))
+    return join_spread(df, codes, [column]).withColumn(name, F.coalesce(F.col(name), F.lit(-1)))
 
 
 def target_encode(df: DataFrame, key, label: str, a: float = 4.0, b: float = 46.0, name: str | None = None,
@@ -81,13 +80,13 @@ def target_encode(df: DataFrame, key, label: str, a: float = 4.0, b: float = 46.
     keys = as_list(key)
     name = name or f"{'_'.join(keys)}_rate"
     stats = drop_null_keys(df, keys).groupBy(*keys).agg(F.coalesce(F.sum(label), F.lit(0)).alias("_s"), F.count(label).alias("_n"))
-    out = df.join(stats, keys, "left")
+    out = join_spread(df, stats, keys)
     s, n = F.col("_s"), F.col("_n")
     drop = ["_s", "_n"]
     if fold_col:
         own = drop_null_keys(df, [*keys, fold_col]).groupBy(*keys, fold_col).agg(
             F.coalesce(F.sum(label), F.lit(0)).alias("_fs"), F.count(label).alias("_fn"))
-        out = out.join(own, [*keys, fold_col], "left")
+        out = join_spread(out, own, [*keys, fold_col])
         s, n = s - F.coalesce(F.col("_fs"), F.lit(0)), n - F.coalesce(F.col("_fn"), F.lit(0))
         drop += ["_fs", "_fn"]
     return out.withColumn(name, (s + F.lit(float(a))) / (n + F.lit(float(b)))).drop(*drop)
@@ -97,7 +96,7 @@ def group_median(df: DataFrame, key, column: str, name: str | None = None, hot_r
     """Exact median of a column within the row's category, as a column."""
     name = name or f"{column}_median"
     medians = group_quantiles(df, key, column, (0.5,), hot_rows).withColumnRenamed("q0", name)
-    return lookup(df, medians, key, name)
+    return join_spread(df, medians, as_list(key))
 
 
 def pair_affinity(df: DataFrame, first, second, name: str = "affinity") -> DataFrame:
@@ -106,6 +105,6 @@ def pair_affinity(df: DataFrame, first, second, name: str = "affinity") -> DataF
     pairs = drop_null_keys(df, [*k1, *k2]).groupBy(*k1, *k2).agg(F.count(F.lit(1)).alias("pair_count"))
     left = pairs.groupBy(*k1).agg(F.sum("pair_count").alias("first_count"))
     right = pairs.groupBy(*k2).agg(F.sum("pair_count").alias("second_count"))
-    out = pairs.join(left, k1, "left").join(right, k2, "left")
+    out = join_spread(join_spread(pairs, left, k1), right, k2)
     value = F.col("pair_count").cast("double") / F.col("second_count") / F.col("first_count")
     return out.withColumn(name, value)

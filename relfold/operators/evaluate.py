@@ -12,17 +12,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from relfold.operators.hotkeys import as_list, drop_null_keys
-from relfold.operators.quantile import table_quantiles, value_bucket
+from relfold.operators.hotkeys import as_list, drop_null_keys, with_slice
+from relfold.operators.quantile import table_quantiles
 
-HASH_RANGE = 2147483648
-RANGE_SHIFT = 19  # 4,096 ranges
+HALF = 2147483648
+HASH_RANGE = 2147483647  # a prime, so that no stride of ids falls together
+RANGE_SHIFT = 11  # 1,048,576 ranges, a million rows each at 10^12 ids
 
 
 def mix(key: str | Column, seed: int) -> Column:
-    """Seeded 31-bit mix of an integer id; plain integer arithmetic, the same on any engine."""
-    x = F.pmod((F.col(key) if isinstance(key, str) else key).cast("bigint"), F.lit(HASH_RANGE))
-    h = F.pmod(x * F.lit(1103515245) + F.lit(seed), F.lit(HASH_RANGE))
+    """Seeded 31-bit mix of both halves of an integer id; plain integer arithmetic, the same on any engine."""
+    x = (F.col(key) if isinstance(key, str) else key).cast("bigint")
+    low, high = F.pmod(x, F.lit(HALF)), F.pmod(F.shiftright(x, 31), F.lit(HALF))
+    h = F.pmod(low * F.lit(1103515245) + high * F.lit(1220703125) + F.lit(seed), F.lit(HASH_RANGE))
     return F.pmod((h + F.shiftright(h, 16)) * F.lit(69069) + F.lit(1), F.lit(HASH_RANGE))
 
 
@@ -100,19 +102,21 @@ def rate_by_quantile(df: DataFrame, column: str, label: str, bins: int = 10) ->
 def auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Area under the ROC curve, ties counting half; overall or per group. NULL without both classes.
 
-    Works on counts per distinct score. The number of negatives below a score is a running sum inside a fixed range
-    of scores plus the total of the ranges below it.
+    Works on counts per distinct score. The number of negatives below a score is a running sum inside a slice of the
+    group's scores plus the total of the slices below it.
     """
     by = as_list(by)
     s = F.col(score).cast("double")
     known = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-    points = known.groupBy(*by, value_bucket(s).alias("_b"), s.alias("_s")).agg(
+    points = drop_null_keys(known, by).groupBy(*by, s.alias("_s")).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("_p"), F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("_n"))
-    ranges = points.groupBy(*by, "_b").agg(F.sum("_n").alias("_rn"))
-    below = W.partitionBy(*by).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    ranges = ranges.select(*by, "_b", F.coalesce(F.sum("_rn").over(below), F.lit(0)).alias("_base"))
-    inside = W.partitionBy(*by, "_b").orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
-    placed = points.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(ranges, [*by, "_b"])
+    place = [*by, "_all"]
+    points = with_slice(points.withColumn("_all", F.lit(0)), place, "_s")
+    ranges = points.groupBy(*place, "_slice").agg(F.sum("_n").alias("_rn"))
+    below = W.partitionBy(*place).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    ranges = ranges.select(*place, "_slice", F.coalesce(F.sum("_rn").over(below), F.lit(0)).alias("_base"))
+    inside = W.partitionBy(*place, "_slice").orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
+    placed = points.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(ranges, [*place, "_slice"])
     right = F.sum(F.col("_p") * (F.col("_base") + F.col("_in") + F.col("_n") / F.lit(2.0)))
     pairs = F.sum("_p").cast("double") * F.sum("_n").cast("double")
     return placed.groupBy(*by).agg(F.try_divide(right, pairs).alias("auc"))

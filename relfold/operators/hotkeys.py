@@ -9,9 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relfold.sources.store import ensure_checkpoint_dir
+
 # Rows of one key that a single task may sort.
 HOT_ROWS = 1_000_000
 # An input this small fits one task even if all of it shares one key, so no search is needed.
@@ -85,38 +88,53 @@ def numeric_order(df: DataFrame, name: str) -> Column | None:
     return None
 
 
-def bounds_tree(x: Column, bounds: Sequence) -> Column:
-    """Number of bounds that are <= x, as a balanced CASE tree (log2 comparisons per row, all in codegen)."""
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(x < F.lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-    return build(0, len(bounds))
+# Keys whose slice bounds (about 2 KB each) are sent to all tasks; more of them are joined.
+SENT_KEYS = 4096
+# Parts that the rows of a key are spread over where a table of statistics is joined to them.
+SALTS = 16
+
+
+def join_spread(df: DataFrame, stats: DataFrame, keys: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """Left join of statistics, one row per key. The rows of a key (and those without one) are spread over ``salts`` parts by a hash of the row,
+    the statistics copied to each, so that a key with most of the rows fills no task by itself. Meant for keys of few values."""
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    rows = df.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(salts)))
+    copies = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    return rows.join(copies, [*keys, "_salt"], "left").select(*df.columns, *[c for c in stats.columns if c not in keys])
 
 
-def _text_bounds(df: DataFrame, name: str, slices: int) -> list[str]:
-    """Bounds for a text column: every 20th of the distinct values with the smallest hashes, in byte order."""
-    some = df.select(name).where(F.col(name).isNotNull()).distinct().orderBy(F.xxhash64(name)).limit(slices * 20).collect()
-    values = sorted((r[0] for r in some), key=lambda v: v.encode("utf-8"))
-    return values[:: max(len(values) // slices, 1)][1:]
+def _text_bounds(df: DataFrame, keys: Sequence[str], name: str, slices: int) -> DataFrame:
+    """Per key every 20th, in byte order, of the distinct values with the smallest hashes; few of them pass the map side."""
+    some = df.where(F.col(name).isNotNull()).select(*keys, name).distinct()
+    some = some.withColumn("_nth", F.row_number().over(W.partitionBy(*keys).orderBy(F.xxhash64(name)))).where(F.col("_nth") <= slices * 20)
+    every = F.filter(F.sort_array(F.collect_list(name)), lambda _, i: (i + 1) % 20 == 0)
+    return some.groupBy(*keys).agg(every.alias("_bounds"))
 
 
-def order_slice(df: DataFrame, name: str, slices: int = SLICES) -> Column | None:
-    """Slice number of each row: ranges of one order column of about equal depth, NULL order values lowest.
+def with_slice(df: DataFrame, keys: Sequence[str], name: str, slices: int = SLICES) -> DataFrame | None:
+    """Adds ``_slice``: for each key its own ranges of one order column, of about equal depth, NULL lowest. None for types without such ranges.
 
-    The bounds are read once into literals (at most ``slices`` values), so that every later use of the slice gives
-    the same number for the same value, whatever is recomputed. Any bounds give right results; good ones even sizes.
+    The bounds are stored once in the shared folder, so that every later use gives the same number for the same value, whatever is computed again. Any
+    bounds give right results; good ones even sizes.
     """
     if isinstance(df.schema[name].dataType, T.StringType):
-        x, bounds = F.col(name), _text_bounds(df, name, slices)
+        x, found = F.col(name), _text_bounds(df, keys, name, slices)
     else:
         x = numeric_order(df, name)
         if x is None:
             return None
         probs = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-        found = df.agg(F.percentile_approx(x, probs, slices * 20).alias("b")).first()["b"]
-        bounds = sorted({float(b) for b in found or []})
-    if not bounds:
-        return F.lit(0)
-    return F.when(x.isNull(), F.lit(-1)).otherwise(bounds_tree(x, bounds))
+        found = df.groupBy(*keys).agg(F.sort_array(F.percentile_approx(x, probs, slices * 20)).alias("_bounds"))
+    # a key without values has no bounds; the first of each 16 bounds are looked at before the 16 themselves
+    found = found.where(F.col("_bounds").isNotNull()).withColumn("_firsts", F.filter("_bounds", lambda _, i: i % 16 == 0))
+    ensure_checkpoint_dir(df.sparkSession)
+    found = found.checkpoint()
+    rows = df.join(F.broadcast(found), list(keys), "left") if found.count() <= SENT_KEYS else join_spread(df, found, keys)
+
+    def reached(bounds: Column) -> Column:
+        return F.size(F.filter(bounds, lambda b: b <= x))
+
+    block = reached(F.col("_firsts"))
+    fine = F.when(block > 0, (block - 1) * 16 + reached(F.slice("_bounds", (block - 1) * 16 + 1, F.lit(16))))
+    number = F.when(x.isNull(), F.lit(-1)).otherwise(F.coalesce(fine, F.lit(0)))
+    return rows.withColumn("_slice", number).select(*df.columns, "_slice")

@@ -2,7 +2,7 @@
 
 The order must be total (end it with a tie-break), otherwise equal rows may swap between runs.
 
-Ordinary keys use a window partitioned by the key. A hot key is cut into equal-depth slices of its first order
+Ordinary keys use a window partitioned by the key. A hot key is cut into its own equal-depth slices of the first order
 column; each slice is its own window partition, and only the few rows at slice edges (lag) or one count per slice
 (rank) are combined per key.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from relfold.operators.hotkeys import as_list, drop_null_keys, hot_keys, order_slice, split_hot
+from relfold.operators.hotkeys import as_list, drop_null_keys, hot_keys, join_spread, split_hot, with_slice
 
 
 def _sorting(order: Sequence[str], descending: bool) -> list[Column]:
@@ -27,10 +27,11 @@ def _window(keys: Sequence[str], order: Sequence[str], descending: bool = False)
 
 
 def _sliced_rank(df: DataFrame, keys: list[str], order: list[str], name: str, descending: bool) -> DataFrame:
-    piece = order_slice(df, order[0])
-    if piece is None:
+    cut = with_slice(df, keys, order[0])
+    if cut is None:
         return df.withColumn(name, F.row_number().over(_window(keys, order, descending)).cast("bigint"))
-    cut = df.withColumn("_slice", -piece if descending else piece)
+    if descending:
+        cut = cut.withColumn("_slice", -F.col("_slice"))
     before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
@@ -67,10 +68,11 @@ def group_rank(df: DataFrame, key, value, ascending: bool = True, name: str = "r
 
 def _sliced_shift(df: DataFrame, keys: list[str], order: list[str], value: str, n: int, name: str,
                   descending: bool) -> DataFrame:
-    piece = order_slice(df, order[0])
-    if piece is None:
+    cut = with_slice(df, keys, order[0])
+    if cut is None:
         return df.withColumn(name, F.lag(value, n).over(_window(keys, order, descending)))
-    cut = df.withColumn("_slice", -piece if descending else piece)
+    if descending:
+        cut = cut.withColumn("_slice", -F.col("_slice"))
     inside = [*keys, "_slice"]
     shifted = (
         cut.withColumn(name, F.lag(value, n).over(_window(inside, order, descending)))
@@ -164,12 +166,12 @@ def trend(df: DataFrame, key, order, value: str, name: str = "trend", hot_rows:
 def group_zscore(df: DataFrame, key, cols, replace: bool = False) -> DataFrame:
     """(x - mean) / std inside the key; NULL values and a zero spread give 0.
 
-    Groups here are few and large, so the statistics are aggregated and joined back instead of a window.
+    Groups here are few and large, so the statistics are aggregated and joined back to spread rows instead of a window.
     """
     keys, cols = as_list(key), as_list(cols)
     stats = drop_null_keys(df, keys).groupBy(*keys).agg(
         *[F.avg(c).alias(f"_mean_{c}") for c in cols], *[F.stddev_samp(c).alias(f"_std_{c}") for c in cols])
-    out = df.join(stats, keys, "left")
+    out = join_spread(df, stats, keys)
     for c in cols:
         z = F.coalesce(F.try_divide(F.col(c) - F.col(f"_mean_{c}"), F.col(f"_std_{c}")), F.lit(0.0))
         out = out.withColumn(c if replace else f"{c}_{'_'.join(keys)}_standardize", z)
@@ -181,7 +183,7 @@ def group_minmax(df: DataFrame, key, cols, start: float = 0.0, replace: bool = F
     keys, cols = as_list(key), as_list(cols)
     stats = drop_null_keys(df, keys).groupBy(*keys).agg(
         *[F.min(c).alias(f"_min_{c}") for c in cols], *[F.max(c).alias(f"_max_{c}") for c in cols])
-    out = df.join(stats, keys, "left")
+    out = join_spread(df, stats, keys)
     for c in cols:
         span = F.col(f"_max_{c}") - F.col(f"_min_{c}")
         v = F.coalesce(F.try_divide(F.col(c) - F.col(f"_min_{c}"), span), F.lit(float(start)))

@@ -1,8 +1,8 @@
 """Exact interpolated quantiles, per key or over a whole table, without bringing a large group into one task.
 
 Ordinary groups use Spark's exact ``percentile``. A hot group (or the whole table) is solved by refinement: count
-per (bucket, value) on the map side, where the bucket is a fixed monotone function of the value; add up the buckets
-to see which one holds the wanted position; rank only the distinct values inside that bucket.
+per (slice, value) on the map side, where the slices are ranges of about equal depth of the group's own values; add up
+the slices to see which one holds the wanted position; rank only the distinct values inside that slice.
 """
 
 from __future__ import annotations
@@ -13,26 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from relfold.operators.hotkeys import as_list, drop_null_keys, hot_keys, is_small, split_hot
-
-BUCKETS_PER_DOUBLING = 16384
-
-
-def value_bucket(x: Column) -> Column:
-    """Fixed monotone bucket of a number: about 0.004 % wide relative to the value. Infinities have the end buckets, NaN one beyond them."""
-    scaled = F.floor(F.log1p(F.abs(x)) * F.lit(BUCKETS_PER_DOUBLING / 0.6931471805599453))
-    ends = F.when(F.isnan(x), F.lit(1 << 61)).when(x == float("inf"), F.lit(1 << 60)).when(x == float("-inf"), F.lit(-(1 << 60)))
-    return ends.otherwise((F.signum(x) * scaled).cast("bigint"))
-
+from relfold.operators.hotkeys import as_list, drop_null_keys, hot_keys, is_small, split_hot, with_slice
 
 def _refine(df: DataFrame, keys: list[str], name: str, probs: Sequence[float]) -> DataFrame:
     """keys + q0..qn for every key of df that has a value."""
-    x = F.col(name).cast("double")
-    # negative buckets round toward zero, so buckets 0 and -0 coincide; monotone all the same
-    counted = (
-        df.where(F.col(name).isNotNull())
-        .groupBy(*keys, value_bucket(x).alias("_b"), x.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    )
+    group, keys = keys, [*keys, "_all"]
+    values = df.where(F.col(name).isNotNull()).select(*group, F.col(name).cast("double").alias("_v"), F.lit(0).alias("_all"))
+    counted = with_slice(values, keys, "_v").groupBy(*keys, F.col("_slice").alias("_b"), "_v").agg(F.count(F.lit(1)).alias("_n"))
     per_bucket = counted.groupBy(*keys, "_b").agg(F.sum("_n").alias("_n"))
     by_key = W.partitionBy(*keys)
     placed = (
@@ -65,8 +52,9 @@ def _refine(df: DataFrame, keys: list[str], name: str, probs: Sequence[float]) -
         lo = F.max(F.when((F.col("_i") == i) & (F.col("_side") == 0), F.col("_v")))
         hi = F.max(F.when((F.col("_i") == i) & (F.col("_side") == 1), F.col("_v")))
         frac = F.max(F.when(F.col("_i") == i, F.col("_frac")))
-        cols.append((lo + (hi - lo) * frac).alias(f"q{i}"))
-    return picked.groupBy(*keys).agg(*cols)
+        # no arithmetic where there is nothing between: infinities would give NaN
+        cols.append(F.when((frac == 0) | (lo == hi), lo).otherwise(lo * (1 - frac) + hi * frac).alias(f"q{i}"))
+    return picked.groupBy(*group).agg(*cols)
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], name: str, probs: Sequence[float] = (0.5,)) -> DataFrame:

@@ -226,10 +226,19 @@ def test_labels_are_one_to_one_and_text_is_escaped(spark):
         flags("c", ["A-b", "a b"])
 
 
-def test_buckets_of_special_numbers(spark):
-    from relfold.operators.quantile import value_bucket
+def test_quantiles_of_special_numbers_agree_on_both_routes(spark):
+    from relfold.operators.quantile import group_quantiles
 
-    values = [float("-inf"), -1e300, -1.0, -0.0, 0.0, 1.0, 1e300, float("inf"), float("nan")]
-    df = spark.createDataFrame(list(enumerate(values)), "i int, x double")
-    found = [r["b"] for r in df.withColumn("b", value_bucket(df["x"])).orderBy("i").collect()]
-    assert found == sorted(found) and found[3] == found[4] and len(set(found)) == 8
+    sets = [[float("-inf"), -1e300, -1.0, -0.0, 0.0, 1.0, 1e300, float("inf"), float("nan")], [float("inf")] * 3, [-0.0, 0.0], [None, float("nan")], [None], [1.0, None, float("inf")]]
+    df = spark.createDataFrame([(k, x) for k, xs in enumerate(sets) for x in xs], "k int, x double")
+    probs = [0.0, 0.25, 0.5, 1.0]
+    plain, sliced = (sorted(map(str, group_quantiles(df, "k", "x", probs, hot_rows=n).collect())) for n in (100, 0))
+    assert [r.replace("-0.0", "0.0") for r in plain] == [r.replace("-0.0", "0.0") for r in sliced]
+
+
+def test_hash_ranges_of_ids_with_strides(spark):
+    from relfold.operators.evaluate import mix
+
+    for bits in (0, 11, 22, 31, 40):
+        h = spark.range(20000).select((F.shiftright(mix(F.shiftleft("id", bits), 1), 21)).alias("r"))
+        assert h.distinct().count() > 950, bits  # of 1,024 ranges

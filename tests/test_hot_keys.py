@@ -1,6 +1,7 @@
 """Hot groups take another route and give the same rows. One key holds a third of the rows here."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,10 +66,32 @@ def test_table_quantiles(skewed):
     assert list(quantile.table_quantiles(skewed, "v", probs, force_refine=True).first()) == pytest.approx(list(plain))
 
 
-def test_value_bucket_is_monotone(spark):
-    xs = sorted([-1e12, -5.5, -1.0, -1e-9, 0.0, 1e-9, 0.3, 1.0, 1.0005, 2.0, 7e5, 7.1e5, 1e300])
-    got = [r[0] for r in spark.createDataFrame([(x,) for x in xs], "x double").coalesce(1).select(quantile.value_bucket(F.col("x"))).collect()]
-    assert got == sorted(got)
+@pytest.mark.parametrize("value", ["k * 1000000 + i", "1e9 + i / 100", "0.0001 * i / 2000", "timestamp_micros(1700000000000000 + i * 43)", "lpad(cast(k * 5000 + i as string), 9, '0')"])
+def test_slices_are_even_for_each_key(spark, value):
+    df = spark.range(80000).selectExpr("id % 40 AS k", "id div 40 AS i").selectExpr("k", "i", f"{value} AS x")
+    cut = hotkeys.with_slice(df, ["k"], "x")
+    per_key = cut.groupBy("k", "_slice").count().groupBy("k").agg(F.count("*").alias("n"), F.max("count").alias("most")).collect()
+    assert len(per_key) == 40 and min(r["n"] for r in per_key) > 80 and max(r["most"] for r in per_key) < 60
+    rows = [(r["x"], r["_slice"]) for r in cut.where("k = 7").collect()]
+    assert [s for _, s in sorted(rows)] == sorted(s for _, s in rows)
+
+
+def test_null_and_absent_order_values_have_a_slice(spark):
+    df = spark.createDataFrame([(1, None), (1, 2.0), (2, None)], "k int, x double")
+    assert sorted(r["_slice"] for r in hotkeys.with_slice(df, ["k"], "x").collect())[:2] == [-1, -1]
+    assert hotkeys.with_slice(df.limit(0), ["k"], "x").count() == 0
+
+
+def test_statistics_join_spreads_every_key(skewed, spark):
+    stats = skewed.groupBy("c").agg(F.avg("v").alias("m"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        nulls = skewed.withColumn("c", F.when(F.col("c") != "a", F.col("c")))
+        out = hotkeys.join_spread(nulls, stats, ["c"])
+        assert re.search(r"Exchange hashpartitioning\(c#\d+, _salt#\d+L?, ", out._jdf.queryExecution().executedPlan().toString())
+        same(out, nulls.join(stats, "c", "left").select(*out.columns))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.mark.parametrize("hot_rows", [0, 500])

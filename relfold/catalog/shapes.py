@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from relfold.catalog.base import CONTRACT, query, r, ra, sql_spec
 from relfold.catalog.rows import hashed
 from relfold.operators import encode, evaluate, interval, ordered
-from relfold.operators.rollup import rollup
+from relfold.operators.rollup import category_frequencies, rollup
 from relfold.sources import roles
 from relfold.sources.tables import driver_table
 
@@ -131,6 +131,12 @@ def one_hot_pruned(spark, sf_dir):
     return encode.prune_rare(wide, cols, 100)[0]
 
 
+@query("category_frequencies", """WITH v AS (SELECT unnest(['o_orderstatus', 'o_orderpriority']) AS "column", unnest([o_orderstatus, o_orderpriority]) AS "value" FROM orders)
+  SELECT "column", "value", count(*) AS "rows", (SELECT count(*) FROM orders) - count(*) AS "others" FROM v GROUP BY 1, 2""")
+def category_frequencies_query(spark, sf_dir):
+    return category_frequencies(driver_table(spark, sf_dir, "orders"), ["o_orderstatus", "o_orderpriority"])
+
+
 @query("count_encode", "SELECT p_partkey, p_type, count(*) OVER (PARTITION BY p_type) AS p_type_count FROM part")
 def count_encode(spark, sf_dir):
     return encode.count_encode(driver_table(spark, sf_dir, "part").select("p_partkey", "p_type"), "p_type")

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from relfold.operators.hotkeys import as_list, drop_null_keys, join_spread
 from relfold.operators.quantile import group_quantiles
-from relfold.operators.rollup import column_label, pivot_values
+from relfold.operators.rollup import column_label, common_values, pivot_values
 
 
 def text_columns(df: DataFrame) -> list[str]:
@@ -33,8 +33,10 @@ def one_hot(df: DataFrame, cols=None, null_category: bool = True, keep_source: b
     """0/1 column per category value; returns the table and the new column names."""
     cols = text_columns(df) if cols is None else as_list(cols)
     new = {}
+    text = [c for c in cols if isinstance(df.schema[c].dataType, T.StringType)]
+    found = common_values(df, text, limit=limit) | {c: pivot_values(df, c, limit) for c in cols if c not in text}
     for c in cols:
-        for v, label in one_to_one(pivot_values(df, c, limit)).items():
+        for v, label in one_to_one(v for v in found[c] if v is not None).items():
             new[f"{c}_{label}"] = F.coalesce(F.col(c) == F.lit(v), F.lit(False)).cast("int")
         if null_category:
             new[f"{c}_null"] = F.col(c).isNull().cast("int")

@@ -241,6 +241,31 @@ def pivot_values(df: DataFrame, category: str, limit: int = 1000) -> list:
     return sorted(r[0] for r in rows)
 
 
+def category_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, rows, others) of every value of several text columns, NULL included, in one pass; ``others`` are the rows with another value."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    counted = df.select(F.explode(pairs).alias("p")).groupBy(F.col("p.column").alias("column"), F.col("p.value").alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+    return counted.withColumn("others", df.select(F.count(F.lit(1))).scalar() - F.col("rows"))
+
+
+def common_values(df: DataFrame, columns: Sequence[str], min_count: int = 0, limit: int = 1000) -> dict[str, list]:
+    """Sorted values of each column, NULL last, that at least ``min_count`` rows have and at least as many have not: those worth a 0/1 column.
+
+    Fails above ``limit`` such values in a column, since each becomes a column.
+    """
+    if not columns:
+        return {}
+    kept = category_frequencies(df, columns)
+    if min_count:
+        kept = kept.where((F.col("rows") >= min_count) & (F.col("others") >= min_count))
+    found: dict[str, list] = {c: [] for c in columns}
+    for r in kept.select("column", "value").limit((limit + 1) * len(columns) + 1).collect():
+        found[r["column"]].append(r["value"])
+    if full := [c for c, values in found.items() if len(values) > limit + (None in values)]:
+        raise ValueError(f"{full} have more than {limit} values; they are no categories")
+    return {c: sorted(values, key=lambda v: (v is None, v or "")) for c, values in found.items()}
+
+
 def column_label(value) -> str:
     """A category value as part of a column name: lower case, other characters to underscores."""
     text = "".join(ch if ch.isalnum() else "_" for ch in str(value).lower())

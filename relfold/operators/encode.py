@@ -52,19 +52,21 @@ def prune_rare(df: DataFrame, cols, min_count: int = 100) -> tuple[DataFrame, li
     return df.drop(*[c for c in cols if c not in kept]), kept
 
 
-def count_encode(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
-    """Number of rows that have the same value."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(name or f"{column}_count"))
+def count_encode(df: DataFrame, column: str, name: str | None = None, source: DataFrame | None = None) -> DataFrame:
+    """Number of rows that have the same value. ``source`` (else ``df``) has the rows to count: the plain table where encodings are chained, lest each
+    one compute all earlier ones again."""
+    rows = df if source is None else source
+    counts = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(name or f"{column}_count"))
     return join_spread(df, counts, [column])
 
 
-def factorize(df: DataFrame, column: str, order, name: str | None = None) -> DataFrame:
-    """0-based code by first appearance in the order; NULL becomes -1."""
+def factorize(df: DataFrame, column: str, order, name: str | None = None, source: DataFrame | None = None) -> DataFrame:
+    """0-based code by first appearance in the order; NULL becomes -1. ``source`` as in count_encode."""
     from relfold.operators.ordered import with_position
 
     name = name or f"{column}_code"
     firsts = (
-        df.where(F.col(column).isNotNull()).groupBy(column)
+        (df if source is None else source).where(F.col(column).isNotNull()).groupBy(column)
         .agg(F.min(F.struct(*as_list(order))).alias("_first"))
         .select(column, *[F.col(f"_first.{c}").alias(f"_o{i}") for i, c in enumerate(as_list(order))], F.lit(0).alias("_all"))
     )

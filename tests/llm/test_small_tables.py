@@ -228,6 +228,50 @@ def test_masks_cover_the_radius(radius, parts):
         assert any(difference & m == 0 and m for m in masks)
 
 
+def test_masks_of_wide_fingerprints_cover_the_radius():
+    masks = simhash.covering_masks(23, 8, 256)
+    r = random.Random(2)
+    for _ in range(3000):
+        difference = sum(1 << b for b in r.sample(range(256), 23))
+        assert any(difference & m == 0 and m for m in masks)
+
+
+@pytest.mark.parametrize(("radius", "parts", "block"), [(23, 8, 1 << 16), (23, 8, 8), (5, 1, 1 << 16)])
+def test_links_of_wide_fingerprints(spark, radius, parts, block):
+    r = random.Random(parts)
+    prints = set()
+    for _ in range(8):
+        one = r.getrandbits(256)
+        for _ in range(12):
+            prints.add(one ^ sum(1 << b for b in r.sample(range(256), r.randint(0, radius + 8))))
+    prints = sorted(prints)
+    rows = [(k, *(simhash.signed(p >> 64 * j & (1 << 64) - 1) for j in range(4))) for k, p in enumerate(prints)]
+    edges = simhash.links(spark.createDataFrame(rows, "fp long, w0 long, w1 long, w2 long, w3 long"), radius, parts, block, words=4)
+    found = {r["node"]: r["root"] for r in simhash.components(edges).collect()}
+    roots = [found.get(k, k) for k in range(len(prints))]
+    expected = plain_components(prints, radius)
+    assert len(set(roots)) == len(set(expected)) == len(set(zip(roots, expected, strict=True)))
+
+
+def test_near_dedup_against_shingle_similarity(spark, sf_dir):
+    docs = quality.keep_good(spark.read.parquet(f"{sf_dir}/documents.parquet"), quality.RULES)
+    sets, owners = {}, {}
+    for row in docs.collect():
+        own = words((row["text"] or "").translate({c: c + 32 for c in range(65, 91)}))
+        sets[row["doc_id"]] = {tuple(own[k : k + 5]) for k in range(max(len(own) - 4, 1))}
+    for i, s in sets.items():
+        for x in s:
+            owners.setdefault(x, []).append(i)
+    shared = Counter((a, b) for own in owners.values() for k, a in enumerate(own) for b in own[:k])
+    alike = {p: n / (len(sets[p[0]]) + len(sets[p[1]]) - n) for p, n in shared.items()}
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, sf_dir).select("doc_id").collect()}
+    close = [p for p, x in alike.items() if x >= 0.8]
+    missed = [p for p in close if set(p) <= kept]
+    assert close and len(missed) <= len(close) // 20
+    friends = {i for p, x in alike.items() if x >= 0.6 for i in p}
+    assert set(sets) - kept <= friends  # whatever goes has a near copy
+
+
 def test_long_chains_become_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
     assert {r["root"] for r in simhash.components(edges).collect()} == {0}

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from relfold.catalog.base import query
+from relfold.catalog.blocks import applicant_block, as_features, ids
+from relfold.catalog.rows import scratch
 from relfold.catalog.shapes import labelled_docs
-from relfold.learn import boost, terms
+from relfold.learn import boost, flow, terms
 from relfold.operators import encode
-from relfold.sources.tables import driver_table
+from relfold.plans import blocks
+from relfold.plans.matrix import feature_matrix
+from relfold.sources import roles
+from relfold.sources.tables import driver_table, read_table
 
 SMALL_TREES = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1, "minInfoGain": 0.0}
 
@@ -48,6 +55,28 @@ def cross_validated_scores(spark, sf_dir):
     return boost.cross_validate(df, "doc_id", "label", features, 3, 666, SMALL_TREES)
 
 
+@query("train_and_submit", """WITH f AS (SELECT c_custkey, CASE WHEN c_custkey % 4 <> 0 THEN CASE WHEN coalesce(n, 0) >= 10 THEN 1 ELSE 0 END END AS label
+  FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON c_custkey = o_custkey)
+  SELECT count(*) AS n_scores, count(*) FILTER (WHERE label IS NULL) AS n_submitted, count(*) AS n_ids, 0::BIGINT AS n_bad, 3::BIGINT AS n_folds,
+  count(label) AS n_judged, true AS separates FROM f""")
+def train_and_submit(spark, sf_dir):
+    """Matrix, folds, scores and score files; customers of ten orders or more are told apart. Facts of the files that SQL can tell."""
+    parts = {"applicant": lambda: as_features(applicant_block(spark, sf_dir)), "instalments2": lambda: as_features(blocks.block_instalments_v2(ids(spark, sf_dir), roles.instalment(spark, sf_dir)))}
+    matrix = feature_matrix(parts, "entity_id", uuid.uuid4().hex, params=sf_dir)
+    orders = driver_table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("entity_id")).agg(F.count(F.lit(1)).alias("n"))
+    label = F.when(F.col("entity_id") % 4 != 0, (F.coalesce("n", F.lit(0)) >= 10).cast("int"))
+    labelled = matrix.join(orders, "entity_id", "left").withColumn("label", label).drop("n")
+    folder = scratch(spark, "scores")
+    judged = flow.train_and_submit(labelled, "entity_id", "label", boost.predictors(labelled, "label", ["entity_id"]), folder, 3, 666, SMALL_TREES)
+    schema = "entity_id bigint, score double"
+    every, sent = read_table(spark, f"{folder}/scores", schema), read_table(spark, f"{folder}/submission", schema)
+    bad = F.count(F.when(F.col("score").between(0, 1), None).otherwise(1))
+    folds = judged.agg(F.count("fold").alias("n"), F.sum(F.when(F.col("fold").isNotNull(), F.col("rows"))).alias("rows"), F.min("auc").alias("least"))
+    return every.agg(F.count(F.lit(1)).alias("n_scores"), F.count_distinct("entity_id").alias("n_ids"), bad.alias("n_bad")).select(
+        "*", sent.select(F.count(F.lit(1))).scalar().alias("n_submitted"), folds.select("n").scalar().alias("n_folds"), folds.select("rows").scalar().alias("n_judged"),
+        (folds.select("least").scalar() > 0.9).alias("separates"))
+
+
 @query("term_counts", r"""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS term FROM documents),
   c AS (SELECT doc_id, term, count(*) AS n FROM t GROUP BY 1, 2) SELECT doc_id, term, n FROM c WHERE term IN (SELECT term FROM c GROUP BY 1 HAVING count(*) >= 2)""")
 def term_counts(spark, sf_dir):

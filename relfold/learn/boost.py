@@ -58,11 +58,10 @@ def feature_importance(model: GBTClassificationModel, features: Sequence[str], l
 def cross_validate(df: DataFrame, key: str, label: str, features: Sequence[str], k: int = 10, seed: int = 666,
                    params: dict | None = None) -> DataFrame:
     """(key, part, fold, score): out-of-fold scores of labelled rows, mean of the k models' scores for the others."""
-    known = stratified_folds(df.where(F.col(label).isNotNull()), key, label, k, seed)
-    # every fold reads the split again, so it is computed once
+    # every fold reads the split and the rows to score again, so both are computed once
     ensure_checkpoint_dir(df.sparkSession)
-    known = known.checkpoint()
-    unknown = df.where(F.col(label).isNull())
+    known = stratified_folds(df.where(F.col(label).isNotNull()), key, label, k, seed).checkpoint()
+    unknown = df.where(F.col(label).isNull()).select(key, *features).checkpoint()
     valid, test = None, None
     for i in range(k):
         held = known.withColumn("_valid", F.col("fold") == i)

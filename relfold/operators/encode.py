@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relfold.operators.hotkeys import as_list, drop_null_keys, join_spread
+from relfold.operators.hotkeys import as_list, drop_null_keys, join_spread, one_group
 from relfold.operators.quantile import group_quantiles
 from relfold.operators.rollup import column_label, common_values, pivot_values
 
@@ -68,7 +68,7 @@ def factorize(df: DataFrame, column: str, order, name: str | None = None, source
     firsts = (
         (df if source is None else source).where(F.col(column).isNotNull()).groupBy(column)
         .agg(F.min(F.struct(*as_list(order))).alias("_first"))
-        .select(column, *[F.col(f"_first.{c}").alias(f"_o{i}") for i, c in enumerate(as_list(order))], F.lit(0).alias("_all"))
+        .select(column, *[F.col(f"_first.{c}").alias(f"_o{i}") for i, c in enumerate(as_list(order))], one_group("_first").alias("_all"))
     )
     ranks = [f"_o{i}" for i in range(len(as_list(order)))]
     codes = with_position(firsts, "_all", [*ranks, column], "_code").select(column, (F.col("_code") - 1).alias(name))

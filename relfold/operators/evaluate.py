@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from relfold.operators.hotkeys import as_list, drop_null_keys, with_slice
+from relfold.operators.hotkeys import as_list, drop_null_keys, one_group, with_slice
 from relfold.operators.quantile import table_quantiles
 
 HALF = 2147483648
@@ -111,7 +111,7 @@ def auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFr
     points = drop_null_keys(known, by).groupBy(*by, s.alias("_s")).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("_p"), F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("_n"))
     place = [*by, "_all"]
-    points = with_slice(points.withColumn("_all", F.lit(0)), place, "_s")
+    points = with_slice(points.withColumn("_all", one_group("_s")), place, "_s")
     ranges = points.groupBy(*place, "_slice").agg(F.sum("_n").alias("_rn"))
     below = W.partitionBy(*place).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     ranges = ranges.select(*place, "_slice", F.coalesce(F.sum("_rn").over(below), F.lit(0)).alias("_base"))

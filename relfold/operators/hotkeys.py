@@ -111,6 +111,11 @@ def _text_bounds(df: DataFrame, keys: Sequence[str], name: str, slices: int) ->
     return some.groupBy(*keys).agg(every.alias("_bounds"))
 
 
+def one_group(name: str) -> Column:
+    """0 in every row, as a function of a column: a plain constant would be folded out of joins by it, which then are no equi joins."""
+    return F.pmod(F.xxhash64(name), F.lit(1))
+
+
 def with_slice(df: DataFrame, keys: Sequence[str], name: str, slices: int = SLICES) -> DataFrame | None:
     """Adds ``_slice``: for each key its own ranges of one order column, of about equal depth, NULL lowest. None for types without such ranges.
 

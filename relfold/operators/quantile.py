@@ -13,12 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from relfold.operators.hotkeys import as_list, drop_null_keys, hot_keys, is_small, split_hot, with_slice
+from relfold.operators.hotkeys import as_list, drop_null_keys, hot_keys, is_small, one_group, split_hot, with_slice
 
 def _refine(df: DataFrame, keys: list[str], name: str, probs: Sequence[float]) -> DataFrame:
     """keys + q0..qn for every key of df that has a value."""
     group, keys = keys, [*keys, "_all"]
-    values = df.where(F.col(name).isNotNull()).select(*group, F.col(name).cast("double").alias("_v"), F.lit(0).alias("_all"))
+    values = df.where(F.col(name).isNotNull()).select(*group, F.col(name).cast("double").alias("_v"), one_group(name).alias("_all"))
     counted = with_slice(values, keys, "_v").groupBy(*keys, F.col("_slice").alias("_b"), "_v").agg(F.count(F.lit(1)).alias("_n"))
     per_bucket = counted.groupBy(*keys, "_b").agg(F.sum("_n").alias("_n"))
     by_key = W.partitionBy(*keys)

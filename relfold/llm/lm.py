@@ -5,8 +5,8 @@ equal size; every other word belongs to a class by its spelling. The network pre
 its class; other words share their class's mass by their counts, each plus one, with one more share for all unseen words. So the model is a distribution
 over the same vocabulary as the base.
 
-Training is truncated backpropagation in numpy inside tasks, over every training text: the state runs through all of it, and gradients are taken through
-one window of each ``STRIDE``. Each round takes a part of the texts, every task trains on its share from the same start, and the weights are averaged by
+Training is truncated backpropagation in numpy inside tasks: the state runs through all of every training text, and gradients are taken through every window
+of it. Each round takes a part of the texts, every task trains on its share from the same start, and the weights are averaged by
 tokens. Scoring carries the state over window borders, so a text's likelihood is that of the whole text.
 
 Counts are of all training tokens. Words up to a bound are sent to tasks with their counts; the counts of all others are joined by word.
@@ -36,7 +36,9 @@ HEAD_CLASSES = HEAD // PER_CLASS
 LETTERS, FOREIGN = 12, 4
 SHAPES = 2 * (1 + FOREIGN + LETTERS)
 SYMBOLS, CLASSES = HEAD + SHAPES, HEAD_CLASSES + SHAPES
-WINDOW, STRIDE, GROUP, TRAIN_GROUP = 32, 8, 512, 128
+WINDOW, GROUP, TRAIN_GROUP = 32, 512, 256
+# Where fewer texts than this are still running, windows are longer, up to so many times.
+FEW, LONGER = 128, 8
 # Parts of 8 of the training texts that the rounds take.
 ROUNDS, RATE = (1, 3, 4), 0.1
 
@@ -87,120 +89,156 @@ class Network:
         self.w = weights
         self.squares = {k: np.full_like(v, 1e-6) for k, v in weights.items()}
 
-    def step(self, h: np.ndarray, x: np.ndarray, keep: list | None = None) -> np.ndarray:
-        given = self.w["in"][x]
-        back = h @ self.w["back"]
-        gates = 1 / (1 + np.exp(-(given[:, : 2 * HIDDEN] + back[:, : 2 * HIDDEN])))
-        update, reset = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        new = np.tanh(given[:, 2 * HIDDEN :] + reset * back[:, 2 * HIDDEN :])
-        if keep is not None:
-            keep.append((h, x, update, reset, new, back[:, 2 * HIDDEN :]))
-        return new + update * (h - new)
+    def run(self, h: np.ndarray, x: np.ndarray, active: list[int]) -> tuple[np.ndarray, ...]:
+        """Runs the state ``h`` (units x texts, changed in place) through a window; columns of all results are the steps' texts, step by step.
+
+        Symbols, states before each step, gates (update, reset), new states, and what the state adds to them before the reset.
+        """
+        symbols = np.concatenate([x[:n, t] for t, n in enumerate(active)])
+        given = np.ascontiguousarray(self.w["in"][symbols].T)
+        states, news, inner = (np.empty((HIDDEN, len(symbols)), given.dtype) for _ in range(3))
+        gates = given[: 2 * HIDDEN]
+        weights = self.w["back"].T
+        at = 0
+        for n in active:
+            own, now = slice(at, at + n), h[:, :n]
+            at += n
+            back = weights @ now
+            z = gates[:, own]
+            z += back[: 2 * HIDDEN]
+            np.negative(z, out=z)
+            np.exp(z, out=z)
+            z += 1
+            np.reciprocal(z, out=z)
+            new = z[HIDDEN:] * back[2 * HIDDEN :]
+            new += given[2 * HIDDEN :, own]
+            np.tanh(new, out=new)
+            states[:, own], news[:, own], inner[:, own] = now, new, back[2 * HIDDEN :]
+            now -= new
+            now *= z[:HIDDEN]
+            now += new
+        return symbols, states, gates, news, inner
 
     def windows(self, texts: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first step, symbols of the running texts, how many run at each step)."""
         lengths = np.array([len(t) for t in texts])
         flat = np.concatenate(texts)
         starts = np.cumsum(lengths) - lengths
-        for t0 in range(0, int(lengths[0]), WINDOW):
+        t0 = 0
+        while t0 < lengths[0]:
             running = int((lengths > t0).sum())
-            steps = np.arange(t0, min(t0 + WINDOW, int(lengths[0])))
+            span = WINDOW * min(max(FEW // running, 1), LONGER)
+            steps = np.arange(t0, min(t0 + span, int(lengths[0])))
             at = starts[:running, None] + np.minimum(steps, lengths[:running, None] - 1)
             yield t0, flat[at], (lengths[:running, None] > steps).sum(axis=0)
+            t0 += span
 
     def outputs(self, states: np.ndarray, target: np.ndarray, grads: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probability of each target's class, and of the word within it for symbols of the head; with ``grads`` also the states' gradient."""
         w = self.w
         is_head = target < HEAD
         own = np.where(is_head, target // PER_CLASS, target - HEAD + HEAD_CLASSES)
-        rows = np.arange(len(target))
-        logits = states @ w["class"] + w["class_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        picked = logits[rows, own]
+        columns = np.arange(len(target))
+        logits = w["class"].T @ states
+        logits += w["class_bias"][:, None]
+        logits -= logits.max(axis=0)
+        picked = logits[own, columns]
         np.exp(logits, out=logits)
-        total = logits.sum(axis=1)
+        total = logits.sum(axis=0)
         logp = picked - np.log(total)
         back = None
         if grads is not None:
-            logits /= total[:, None]
-            logits[rows, own] -= 1
-            grads["class"] += states.T @ logits
-            grads["class_bias"] += logits.sum(axis=0)
-            back = logits @ w["class"].T
+            logits /= total
+            logits[own, columns] -= 1
+            grads["class"] += states @ logits.T
+            grads["class_bias"] += logits.sum(axis=1)
+            back = w["class"] @ logits
         order = np.flatnonzero(is_head)
-        order = order[np.argsort(own[order], kind="stable")]
+        order = order[np.argsort(own[order].astype(np.int16), kind="stable")]
         cuts = np.searchsorted(own[order], np.arange(HEAD_CLASSES + 1))
+        sorted_states, places = states[:, order], target[order] % PER_CLASS
+        inner_logp = np.zeros(len(order), logp.dtype)
+        inner_back = np.empty_like(sorted_states)
         for c in range(HEAD_CLASSES):
-            mine = order[cuts[c] : cuts[c + 1]]
-            if len(mine):
+            mine = slice(cuts[c], cuts[c + 1])
+            if cuts[c] < cuts[c + 1]:
                 part = slice(c * PER_CLASS, (c + 1) * PER_CLASS)
-                inner = states[mine] @ w["word"][part].T + w["word_bias"][part]
-                inner -= inner.max(axis=1, keepdims=True)
-                place = target[mine] - c * PER_CLASS
-                seen = inner[np.arange(len(mine)), place]
+                columns = np.arange(cuts[c + 1] - cuts[c])
+                inner = w["word"][part] @ sorted_states[:, mine]
+                inner += w["word_bias"][part, None]
+                inner -= inner.max(axis=0)
+                seen = inner[places[mine], columns]
                 np.exp(inner, out=inner)
-                total = inner.sum(axis=1)
-                logp[mine] += seen - np.log(total)
+                total = inner.sum(axis=0)
+                inner_logp[mine] = seen - np.log(total)
                 if grads is not None:
-                    inner /= total[:, None]
-                    inner[np.arange(len(mine)), place] -= 1
-                    grads["word"][part] += inner.T @ states[mine]
-                    grads["word_bias"][part] += inner.sum(axis=0)
-                    back[mine] += inner @ w["word"][part]
+                    inner /= total
+                    inner[places[mine], columns] -= 1
+                    grads["word"][part] += inner @ sorted_states[:, mine].T
+                    grads["word_bias"][part] += inner.sum(axis=1)
+                    inner_back[:, mine] = w["word"][part].T @ inner
+        logp[order] += inner_logp
+        if grads is not None:
+            back[:, order] += inner_back
         return logp, back
 
+    def start(self, texts: list[np.ndarray]) -> np.ndarray:
+        return np.zeros((HIDDEN, len(texts)), self.w["back"].dtype)
+
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """Natural log probability of each text (longest first)."""
         out = np.zeros(len(texts))
-        h = np.zeros((len(texts), HIDDEN), np.float32)
+        h = self.start(texts)
         for _, x, active in self.windows(texts):
-            states, targets, owners = [], [], []
-            for t, n in enumerate(active.tolist()):
-                states.append(h[:n].copy())
-                targets.append(x[:n, t])
-                owners.append(np.arange(n))
-                h[:n] = self.step(h[:n], x[:n, t])
-            logp, _ = self.outputs(np.concatenate(states), np.concatenate(targets))
-            out += np.bincount(np.concatenate(owners), weights=logp, minlength=len(out))
+            targets, states, *_ = self.run(h, x, active.tolist())
+            logp, _ = self.outputs(states, targets)
+            out += np.bincount(np.concatenate([np.arange(n) for n in active.tolist()]), weights=logp, minlength=len(out))
         return out
 
-    def train(self, texts: list[np.ndarray], turn: int, rate: float = RATE) -> None:
-        """One pass: the state runs through everything, one window of each STRIDE is learned from."""
-        h = np.zeros((len(texts), HIDDEN), np.float32)
-        for t0, x, active in self.windows(texts):
-            if (t0 // WINDOW + turn) % STRIDE:
-                for t, n in enumerate(active.tolist()):
-                    h[:n] = self.step(h[:n], x[:n, t])
-            else:
-                h = self.learn(h, x, active.tolist(), rate)
-
-    def learn(self, h: np.ndarray, x: np.ndarray, active: list[int], rate: float) -> np.ndarray:
-        w, grads = self.w, {k: np.zeros_like(v) for k, v in self.w.items()}
-        kept: list = []
-        h = h.copy()
-        for t, n in enumerate(active):
-            h[:n] = self.step(h[:n].copy(), x[:n, t], kept)
-        _, back = self.outputs(np.concatenate([k[0] for k in kept]), np.concatenate([k[1] for k in kept]), grads)
-        ends = np.cumsum(active)
-        dh = np.zeros((active[0], HIDDEN), np.float32)
-        for t in range(len(active) - 1, -1, -1):
-            n = active[t]
-            before, symbol, update, reset, new, inner = kept[t]
-            own = dh[:n]
-            d_new = own * (1 - update) * (1 - new * new)
-            d_update = own * (before - new) * update * (1 - update)
-            d_reset = d_new * inner * reset * (1 - reset)
-            given = np.concatenate((d_update, d_reset, d_new), axis=1)
-            recurrent = np.concatenate((d_update, d_reset, d_new * reset), axis=1)
-            np.add.at(grads["in"], symbol, given)
-            grads["back"] += before.T @ recurrent
-            dh[:n] = own * update + recurrent @ w["back"].T + back[ends[t] - n : ends[t]]
+    def train(self, texts: list[np.ndarray], turn: int = 0, rate: float = RATE) -> None:
+        """One pass: every window of every text is learned from, whichever ``turn`` the group has."""
+        h = self.start(texts)
+        for _, x, active in self.windows(texts):
+            self.learn(h, x, active.tolist(), rate)
+
+    def learn(self, h: np.ndarray, x: np.ndarray, active: list[int], rate: float) -> None:
+        """Moves the state ``h`` through a window, then the weights against the gradient of its likelihood."""
+        w, grads = self.w, {k: np.zeros_like(v) for k, v in self.w.items() if k != "in"}
+        symbols, states, gates, news, inner = self.run(h, x, active)
+        _, back = self.outputs(states, symbols, grads)
+        update, reset = gates[:HIDDEN], gates[HIDDEN:]
+        # what a state's gradient is multiplied by, for all steps at once
+        by_new = (1 - update) * (1 - news * news)
+        by_update = (states - news) * update * (1 - update)
+        by_reset = inner * reset * (1 - reset)
+        given = np.empty((3 * HIDDEN, len(symbols)), states.dtype)  # gradient of what the symbols give
+        recurrent = np.empty_like(given)
+        dh = np.zeros((HIDDEN, active[0]), states.dtype)
+        at = len(symbols)
+        for n in reversed(active):
+            at -= n
+            own, column = dh[:, :n], slice(at, at + n)
+            d = given[:, column]
+            np.multiply(own, by_update[:, column], out=d[:HIDDEN])
+            np.multiply(own, by_new[:, column], out=d[2 * HIDDEN :])
+            np.multiply(d[2 * HIDDEN :], by_reset[:, column], out=d[HIDDEN : 2 * HIDDEN])
+            r = recurrent[:, column]
+            r[: 2 * HIDDEN] = d[: 2 * HIDDEN]
+            np.multiply(d[2 * HIDDEN :], reset[:, column], out=r[2 * HIDDEN :])
+            own *= update[:, column]
+            own += w["back"] @ r
+            own += back[:, column]
+        grads["back"] += states @ recurrent.T
+        order = np.argsort(symbols.astype(np.int16), kind="stable")
+        found, starts = np.unique(symbols[order], return_index=True)
+        grads["in"] = np.add.reduceat(given[:, order], starts, axis=1).T
         scale = 1 / float(WINDOW * TRAIN_GROUP)  # windows of few texts weigh less
         for k, g in grads.items():
-            g *= scale
-            self.squares[k] += g * g
-            w[k] -= rate * g / np.sqrt(self.squares[k])
-        return h
+            g = g * scale
+            rows = found if k == "in" else slice(None)  # symbols that do not occur have no gradient
+            squares = self.squares[k][rows] + g * g
+            self.squares[k][rows] = squares
+            w[k][rows] -= rate * g / np.sqrt(squares)
 
 
 # ------------------------------------------------------------------ counts
@@ -325,12 +363,10 @@ def fit(docs: DataFrame, vocabulary: Vocabulary, doc_id: str, text: str, rounds:
 
         def trained(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
             reader, network, weight = Reader(known.value), Network(unpacked(start.value.copy())), 0
-            turn = 0
             with np.errstate(over="ignore"):
                 for batch in batches:
                     for group in grouped(((i, reader.read(tokens(t))[1]) for i, t in enumerate(raw_texts(batch.column(0)))), TRAIN_GROUP):
-                        network.train([s for _, s in group], turn)
-                        turn += 1
+                        network.train([s for _, s in group])
                         weight += sum(len(s) for _, s in group)
             if weight:
                 now = packed(network.w).astype(np.float64)

@@ -354,6 +354,18 @@ def test_network_gradient_is_the_slope():
         assert abs(slope[0] - slope[1]) / 2e-3 == pytest.approx(float(np.sqrt(network.squares[name][at])), rel=2e-2)
 
 
+@pytest.mark.parametrize("turn", [0, 1, 5])
+def test_network_learns_from_every_window(turn):
+    # the tokens of each window have a word class of their own; a second text ends in its first window
+    long_text = np.repeat(np.arange(12) * lm.PER_CLASS, lm.WINDOW)
+    short = np.full(20, 13 * lm.PER_CLASS)
+    network = lm.Network(lm.first_weights())
+    before = network.squares["word_bias"].copy()
+    network.train([long_text, short], turn)
+    learned = (network.squares["word_bias"] > before).reshape(lm.HEAD_CLASSES, lm.PER_CLASS).any(axis=1)
+    assert np.flatnonzero(learned).tolist() == [*range(12), 13]
+
+
 def test_network_scores_add_to_one_and_carry_the_state():
     network = lm.Network(lm.first_weights())
     start = np.full(40, 3)

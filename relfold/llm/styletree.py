@@ -4,9 +4,10 @@ Pages of one host share a template. Their element trees are merged into one site
 if its presentation (the tags of its children) and its content (its text) differ from page to page, measured by entropy: text that many pages of the host
 repeat word for word has entropy near zero. Branches of low importance are cut from each page.
 
-Elements whose tag, role or class names them as menu, header, footer, sidebar, notice, advert, form or reader comments have importance zero on every host;
-an ``article`` or ``main`` element and its paragraphs are never cut, and where a page has one, the text is taken from it. If cutting would leave nothing, the page keeps its
-text.
+Elements whose tag, role or class names them as menu, header, footer, sidebar, notice, advert, form or reader comments have importance zero on every host.
+A class or id is judged as a whole: ``cookie-notice`` and ``site-header`` are noise, ``has-sidebar`` and ``comments-open`` are not.
+An ``article`` or ``main`` element and its paragraphs are never cut, nor headings in it by their name, and where a page has one, the text is taken from it; if all lie in elements
+that are noise by name, those names don't count. If cutting would leave nothing, names don't count and the tree decides; if that leaves nothing, the page keeps its text.
 
 Character references are decoded, white space inside a block becomes one blank, blocks are trimmed and joined by one newline. NULL and empty pages, and
 pages without text, give an empty text. Pages without host are one host. Repeated pages count each; an empty table gives an empty one.
@@ -17,6 +18,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -45,21 +47,28 @@ BOUNDS = frozenset("ul ol dl table body article section div".split())
 NOISE_TAGS = frozenset("nav footer aside form button select dialog menu head".split()) | RAW
 MAIN_TAGS = frozenset(("article", "main"))
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-NOISE_NAMES = re.compile(
-    r"(?:^|[-_\s])(?:ad|ads|adv|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|header|masthead|topbar|footer|sidebar\w*|side|aside|widget\w*|related|recommend\w*|share|sharing|social"
-    r"|cookies?|consent|notice|notification|alert|gdpr|popup|modal|overlay|newsletter|subscribe|signup|login|search|comments?|comment-?list|replies|respond|disqus|pagination|pager|toolbar|skip)(?:$|[-_\s])",
+NOISE_WORD = re.compile(
+    r"ad|ads|adv|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|header|masthead|topbar|footer|sidebar\w*|side|aside|widget\w*|related|recommend\w*|share|sharing|social"
+    r"|cookies?|consent|notice|notification|alert|gdpr|popup|modal|overlay|newsletter|subscribe|signup|login|search|comments?|commentlist|replies|respond|disqus|pagination|pager|toolbar|skip",
     re.IGNORECASE,
 )
+HEADER_WORDS = frozenset(("header", "masthead"))
+# Words that may stand beside a noise word in a class or id without changing what it names.
+BESIDE = frozenset(
+    "site page main primary secondary top bottom left right global mobile desktop fixed sticky list item items link links bar box block section area container wrapper wrap inner outer"
+    " posts stories articles button buttons icon icons form field slot unit panel row col column group message msg text title this us bg large small".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 KEPT_TAGS = frozenset("article main body html p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 
 
 class Node:
     """An element: what it is called, its path, and its children (elements and pieces of text)."""
 
-    __slots__ = ("tag", "path", "noise", "main", "children")
+    __slots__ = ("tag", "path", "noise", "named", "main", "children")
 
-    def __init__(self, tag: str, path: str, noise: bool, main: bool):
-        self.tag, self.path, self.noise, self.main = tag, path, noise, main
+    def __init__(self, tag: str, path: str, noise: bool, named: bool, main: bool):
+        self.tag, self.path, self.noise, self.named, self.main = tag, path, noise, named, main
         self.children: list[Node | str] = []
 
 
@@ -67,9 +76,20 @@ def attributes(text: str) -> dict[str, str]:
     return {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(text)} if "=" in text else {}
 
 
+@lru_cache(1 << 16)
+def named_noise(names: str, inside_main: bool) -> bool:
+    """Whether a whole class or id names noise: it has a noise word, and no word that is neither noise nor stands beside it; headers inside main are none."""
+    for name in names.lower().split():
+        parts = [x for x in re.split("[-_]+", name) if x]
+        noisy = [x for x in parts if NOISE_WORD.fullmatch(x) and not (inside_main and x in HEADER_WORDS)]
+        if noisy and all(x in noisy or x in BESIDE or x.isdigit() for x in parts):
+            return True
+    return False
+
+
 def parse(page: str) -> Node:
     """The element tree of a page; unclosed and misnested elements are closed as browsers do."""
-    root = Node("#", "", False, False)
+    root = Node("#", "", False, False, False)
     stack, at, n = [root], 0, len(page)
     while at < n:
         token = TOKEN.search(page, at)
@@ -106,17 +126,37 @@ def parse(page: str) -> Node:
         names = f"{given.get('class', '')} {given.get('id', '')}".strip()
         parent = stack[-1]
         inside_main = any(s.main for s in stack)
-        noise = tag in NOISE_TAGS or tag == "header" and not inside_main or given.get("role", "").lower() in NOISE_ROLES or "hidden" in given or bool(names) and tag not in ("html", "body") and bool(NOISE_NAMES.search(names))
-        node = Node(tag, f"{parent.path}>{tag}" + (f".{names}" if names else ""), noise, tag in MAIN_TAGS or given.get("role", "").lower() == "main")
+        role = given.get("role", "").lower()
+        main = tag in MAIN_TAGS or role == "main"
+        noise = tag in NOISE_TAGS or tag == "header" and not inside_main or role in NOISE_ROLES or "hidden" in given
+        exempt = main or tag in ("html", "body") or inside_main and tag in HEADINGS
+        named = bool(names) and not exempt and named_noise(names, inside_main)
+        node = Node(tag, f"{parent.path}>{tag}" + (f".{names}" if names else ""), noise, named, main)
         parent.children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
             at = end.end() if end else n
         elif tag not in VOID and not token[3].endswith("/"):
             stack.append(node)
+    if not main_elements(root):
+        unnamed(root)
     return root
 
 
+def unnamed(root: Node) -> None:
+    """Where all main elements lie inside named noise, the names around them don't count."""
+    stack: list[tuple[Node, tuple]] = [(root, ())]
+    while stack:
+        x, above = stack.pop()
+        if x.main:
+            while above:
+                above[0].named = False
+                above = above[1]
+        else:
+            within = (x, above) if x.named else above
+            stack.extend((c, within) for c in x.children if not isinstance(c, str) and not c.noise)
+
+
 def text_of(node: Node) -> str:
     """All text below a node in order, for comparing."""
     out, stack = [], [node]
@@ -135,14 +175,14 @@ def branches(root: Node) -> Iterator[Node]:
     while stack:
         for child in stack.pop().children:
             if not isinstance(child, str) and child.tag not in RAW:
-                if not child.noise:
+                if not child.noise and not child.named:
                     stack.append(child)
                 if child.tag not in KEPT_TAGS and child.tag not in INLINE and child.tag not in VOID:
                     yield child
 
 
-def blocks(root: Node, low: frozenset[str]) -> list[str]:
-    """Text blocks in page order, without noise and without branches whose path is low."""
+def blocks(root: Node, low: frozenset[str], names: bool = True) -> list[str]:
+    """Text blocks in page order, without noise (with ``names`` also by name) and without branches whose path is low."""
     out: list[str] = []
     pieces: list[str] = []
 
@@ -161,7 +201,7 @@ def blocks(root: Node, low: frozenset[str]) -> list[str]:
             pieces.append(x)
         elif x.tag == "br":
             pieces.append(" ")
-        elif not x.noise and x.path not in low:
+        elif not x.noise and not (names and x.named) and x.path not in low:
             own_block = x.tag not in INLINE
             if own_block:
                 closed()
@@ -179,15 +219,15 @@ def main_elements(root: Node) -> list[Node]:
         if x.main:
             out.append(x)
         else:
-            stack.extend(c for c in reversed(x.children) if not isinstance(c, str) and not c.noise)
+            stack.extend(c for c in reversed(x.children) if not isinstance(c, str) and not c.noise and not c.named)
     return out
 
 
 def main_text(page: str | None, low: frozenset[str]) -> str:
     root = parse(page or "")
     tops = main_elements(root) or [root]
-    for skip in (low, frozenset()):
-        found = [b for top in tops for b in blocks(top, skip)]
+    for skip, names in ((low, True), (frozenset(), True), (low, False), (frozenset(), False)):
+        found = [b for top in tops for b in blocks(top, skip, names)]
         if found:
             return "\n".join(found)
     return ""

@@ -414,6 +414,17 @@ def test_main_text(spark):
     assert (found[9], found[10], found[11], found[None], found[12]) == ("", "", "plain", "a\nb", "deep") and found[14].startswith("x")
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<main class='with-sidebar'><p>Body</p></main>", "Body"), ("<main class='search'><p>Body</p></main>", "Body"), ("<div class='layout has-sidebar'><article><p>Body</p></article></div>", "Body"),
+    ("<div class='sidebar'><article><p>Body</p></article></div>", "Body"), ("<article><header class='entry-header'><h1 class='header'>Title</h1></header><p>Body</p></article>", "Title\nBody"),
+    ("<article class='comments-open'><div class='elementor-widget-text'><p>Body</p></div><div class='comments'><article>Reply</article></div></article>", "Body"),
+    ("<article><p>Body</p></article><div class='comment-list'><article>Reply</article></div>", "Body"), ("<div class='site-header'>Site</div><div class='no-sidebar'>Body</div>", "Body"),
+    ("<div class='widget'><p>Body</p></div>", "Body"),
+])
+def test_names_never_take_the_main_text(page, text):
+    assert styletree.main_text(f"<html><body class='has-sidebar'>{page}</body></html>", frozenset()) == text
+
+
 @pytest.mark.parametrize("sent", [0, 8 << 20])
 def test_site_tree_cuts_what_a_host_repeats(spark, monkeypatch, sent):
     monkeypatch.setattr(styletree, "SENT_BYTES", sent)

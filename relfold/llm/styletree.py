@@ -10,7 +10,8 @@ An ``article`` or ``main`` element and its paragraphs are never cut, nor heading
 that are noise by name, those names don't count. If cutting would leave nothing, names don't count and the tree decides; if that leaves nothing, the page keeps its text.
 
 Character references are decoded, white space inside a block becomes one blank, blocks are trimmed and joined by one newline. NULL and empty pages, and
-pages without text, give an empty text. Pages without host are one host. Repeated pages count each; an empty table gives an empty one.
+pages without text, give an empty text. Pages without host are one host. Every row gets its text, but pages of a host with equal main text (repeated pages, mirrors,
+session urls) count once in the tree, and of a main element no branch that holds over half of its text is cut. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -181,8 +182,23 @@ def branches(root: Node) -> Iterator[Node]:
                     yield child
 
 
+def bulk(top: Node) -> set[int]:
+    """Nodes (by identity) of a main element that hold over half of its text outside noise."""
+    order: list[Node] = []
+    stack = [top]
+    while stack:
+        x = stack.pop()
+        order.append(x)
+        stack.extend(c for c in x.children if not isinstance(c, str) and not c.noise and not c.named)
+    size: dict[int, int] = {}
+    for x in reversed(order):
+        size[id(x)] = sum(len(BLANKS.sub("", c)) if isinstance(c, str) else size.get(id(c), 0) for c in x.children)
+    return {k for k, n in size.items() if 2 * n > size[id(top)]}
+
+
 def blocks(root: Node, low: frozenset[str], names: bool = True) -> list[str]:
-    """Text blocks in page order, without noise (with ``names`` also by name) and without branches whose path is low."""
+    """Text blocks in page order, without noise (with ``names`` also by name) and without branches whose path is low; of a main element the bulk is not cut."""
+    kept = bulk(root) if root.main and low else ()
     out: list[str] = []
     pieces: list[str] = []
 
@@ -201,7 +217,7 @@ def blocks(root: Node, low: frozenset[str], names: bool = True) -> list[str]:
             pieces.append(x)
         elif x.tag == "br":
             pieces.append(" ")
-        elif not x.noise and not (names and x.named) and x.path not in low:
+        elif not x.noise and not (names and x.named) and (x.path not in low or id(x) in kept):
             own_block = x.tag not in INLINE
             if own_block:
                 closed()
@@ -224,7 +240,10 @@ def main_elements(root: Node) -> list[Node]:
 
 
 def main_text(page: str | None, low: frozenset[str]) -> str:
-    root = parse(page or "")
+    return main_of(parse(page or ""), low)
+
+
+def main_of(root: Node, low: frozenset[str]) -> str:
     tops = main_elements(root) or [root]
     for skip, names in ((low, True), (frozenset(), True), (low, False), (frozenset(), False)):
         found = [b for top in tops for b in blocks(top, skip, names)]
@@ -233,28 +252,35 @@ def main_text(page: str | None, low: frozenset[str]) -> str:
     return ""
 
 
+def digest(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
+
+
 def site_trees(pages: DataFrame) -> DataFrame:
-    """(host, path, importance) of the merged nodes; ``pages`` has host and html. Each page sends one row for each of its nodes, counted before the shuffle."""
+    """(host, path, importance) of the merged nodes; ``pages`` has host and html. Each page sends one row for each of its nodes; pages of equal main text count once."""
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: dict[tuple[str, str, int, int], list[int]] = {}
+            rows: set[tuple] = set()
             for host, page in zip(values(batch.column(0)), values(batch.column(1)), strict=True):
+                root = parse(page or "")
+                copy = digest(main_of(root, frozenset()))
+                counts: dict[tuple[str, int, int], list[int]] = {}
                 seen: set[str] = set()
-                for node in branches(parse(page or "")):
-                    shape = xxhash.xxh3_64_intdigest(" ".join(c.tag for c in node.children if not isinstance(c, str))) - (1 << 63)
-                    content = xxhash.xxh3_64_intdigest(text_of(node).encode("utf-8", "replace")) - (1 << 63)
-                    row = counts.setdefault((host, node.path, shape, content), [0, 0])
+                for node in branches(root):
+                    row = counts.setdefault((node.path, digest(" ".join(c.tag for c in node.children if not isinstance(c, str))), digest(text_of(node))), [0, 0])
                     row[0] += 1
                     row[1] += node.path not in seen
                     seen.add(node.path)
-            rows = [(*k, *v) for k, v in counts.items()]
-            kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+                rows.update((host, *k, copy, *v) for k, v in counts.items())
+            kinds = [pa.string(), pa.string(), *[pa.int64()] * 5]
             columns = zip(*rows, strict=True) if rows else [[] for _ in kinds]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "path", "shape", "content", "n", "pages"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "path", "shape", "content", "copy", "n", "pages"])
 
-    sent = pages.select("host", "html").mapInArrow(merged, "host string, path string, shape long, content long, n long, pages long")
-    nodes = sent.groupBy("host", "path", "shape", "content").agg(F.sum("n").alias("n"), F.sum("pages").alias("pages"))
+    sent = pages.select("host", "html").mapInArrow(merged, "host string, path string, shape long, content long, copy long, n long, pages long")
+    node = ["host", "path", "shape", "content"]
+    once = sent.groupBy(*node, "copy").agg(F.max("n").alias("n"), F.max("pages").alias("pages"))
+    nodes = once.groupBy(*node).agg(F.sum("n").alias("n"), F.sum("pages").alias("pages"))
     # the entropy of content, base the number of nodes: 1 if all differ, 0 if all are equal; the same of the presentation counts where it is higher
     sums = lambda c: F.sum(F.col(c) * F.log(c))
     by_shape = nodes.groupBy("host", "path", "shape").agg(F.sum("n").alias("m"), sums("n").alias("content_sum"), F.sum("pages").alias("pages"))

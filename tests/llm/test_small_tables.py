@@ -436,6 +436,21 @@ def test_site_tree_cuts_what_a_host_repeats(spark, monkeypatch, sent):
     assert trees[">body>div.tagline"] == pytest.approx(0) and trees[">body>div.c"] == pytest.approx(1)
 
 
+def test_copies_of_a_page_count_once(spark):
+    page = "<body><nav>Session %d</nav><div class='tagline'>Always the same line</div><article><h1>Title %d</h1><div class='body'><p>%s</p></div></article></body>"
+    rows = [(i, "http://same.org/x", page % (i, max(i - 90, 0), prose(30, max(i - 90, 0)))) for i in range(100)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["id"]: r["text"] for r in styletree.extract(pages).collect()}
+    assert found == {i: f"Title {max(i - 90, 0)}\n{prose(30, max(i - 90, 0))}" for i in range(100)}
+    trees = {r["path"]: (r["pages"], r["importance"]) for r in styletree.site_trees(pages.withColumn("host", urlfilter.host_of(F.col("url")))).collect()}
+    assert trees[">body>div.tagline"] == (10, pytest.approx(0)) and trees[">body>article>div.body"] == (10, pytest.approx(1))
+
+
+def test_the_bulk_of_a_main_element_is_not_cut():
+    page = "<article><h1>Title</h1><div class='body'><p>The whole of the text</p></div><div class='note'>Note</div></article>"
+    assert styletree.main_text(page, frozenset((">article>div.body", ">article>div.note"))) == "Title\nThe whole of the text"
+
+
 def plain_dedup(rows, window):
     """What is left of each row, by comparing all windows."""
     first = {}

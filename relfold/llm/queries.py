@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relfold.llm import decontaminate, langid, lm, mixing, quality, secrets, simhash, styletree, substrings, urlfilter
+from relfold.llm import bpe, crosstoken, decontaminate, infill, langid, lm, mixing, quality, secrets, simhash, styletree, substrings, urlfilter
 from relfold.llm.common import id_crc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +106,30 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut in three and written with its middle last."""
+    found = infill.transform(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumn("restored", infill.restored(F.col("form"), F.col("output")))
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return found.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers meet in every document, and how usual their pairs are."""
+    found = crosstoken.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the text that they decode to."""
+    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    digests = [F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")]
+    return found.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), *digests)
+
+
 # ------------------------------------------------------------------ SQL twins
 
 _SIZE = r"len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT"
@@ -145,3 +169,15 @@ b AS (SELECT a.*, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words FROM a L
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words
   OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 7 * n_lines) AS kept FROM f"""
+
+_H = lambda k: f"('0x' || substr(h, {8 * k + 1}, 8))::BIGINT"
+_PART = lambda a, b: f"coalesce(array_to_string(list_slice(u, {a}, {b}), ''), '')"
+ORACLES["op11_fill_in_middle"] = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT doc_id, t, h, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u FROM d),
+c AS (SELECT doc_id, t, h, u, len(u)::BIGINT AS n, least({_H(0)} % (len(u) + 1), {_H(1)} % (len(u) + 1)) AS a, greatest({_H(0)} % (len(u) + 1), {_H(1)} % (len(u) + 1)) AS b FROM u),
+f AS (SELECT *, CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>') OR {_H(2)} % 100 >= 90 THEN 'plain' WHEN {_H(3)} % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+  {_PART('1', 'a')} AS p, {_PART('a + 1', 'b')} AS m, {_PART('b + 1', 'n')} AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN t ELSE p || m || s END) AS restored_sha256 FROM f"""

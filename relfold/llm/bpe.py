@@ -44,9 +44,9 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END = "\0"
 NEVER = 1 << 40
 # Words and pairs whose results a worker keeps; longer words are encoded anew each time.
-KEPT_WORDS, KEPT_CHARS, KEPT_PAIRS = 1_000_000, 48, 1_000_000
+KEPT_WORDS, KEPT_CHARS, KEPT_PAIRS = 500_000, 48, 1_000_000
 # Words of texts that are looked up at once, a text always whole; pieces above this length are encoded one by one.
-GROUP_WORDS, SIDE_BY_SIDE = 300_000, 64
+GROUP_WORDS, SIDE_BY_SIDE = 150_000, 64
 # Fixed values of the files that this reads: how texts are cleaned, and the pattern of the pieces.
 CLEANING = ["NFC", "Replace", "Lowercase"]
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -335,19 +335,38 @@ def gather(blob: np.ndarray, offsets: np.ndarray, ids: np.ndarray) -> bytes:
     return blob[places].tobytes()
 
 
-def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """(id, ids) of each row. The tables (49,000 entries, a few MB; their size is that of the vocabulary) are made by the driver and sent along."""
+class Decoder:
+    """Decodes token lists by one string of all tokens, each followed by the blank that joins it to the next one, and the offsets in it."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.blob = np.insert(np.frombuffer(vocabulary.blob, np.uint8), vocabulary.offsets[1:], ord(" "))
+        self.offsets = vocabulary.offsets + np.arange(len(vocabulary.offsets))
+
+    def decode(self, lists: Iterable[np.ndarray]) -> pa.Array:
+        return pa.array((gather(self.blob, self.offsets, x)[:-1] for x in lists), pa.binary()).cast(pa.string())
+
+
+def as_lists(found: list[np.ndarray]) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else np.empty(0, np.int32)))
+
+
+def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, decoded: bool = False) -> DataFrame:
+    """(id, ids) of each row, with ``decoded`` also what the ids decode to, in the same pass.
+
+    The tables (49,000 entries, a few MB; their size is that of the vocabulary) are made by the driver and sent along.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = sent.value.encoder()
+        encoder, decoder = sent.value.encoder(), Decoder(sent.value)
         for batch in batches:
             found = list(encoder.encode(t or "" for t in values(batch.column(1))))
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found) if found else np.empty(0, np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["id", "ids"])
+            columns = {"id": batch.column(0), "ids": as_lists(found)} | ({"decoded": decoder.decode(found)} if decoded else {})
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).mapInArrow(encoded, id_schema(docs, doc_id, "ids array<int>"))
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
+    return rows.mapInArrow(encoded, id_schema(docs, doc_id, "ids array<int>" + (", decoded string" if decoded else "")))
 
 
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -355,14 +374,10 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     sent = encoded.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary))
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = sent.value
-        # every token followed by the blank that joins it to the next one
-        blob = np.insert(np.frombuffer(v.blob, np.uint8), v.offsets[1:], ord(" "))
-        offsets = v.offsets + np.arange(len(v.offsets))
+        decoder = Decoder(sent.value)
         for batch in batches:
             ids = batch.column(1)
-            lists = (x.values.to_numpy(zero_copy_only=False).astype(np.int64) if x.is_valid else np.empty(0, np.int64) for x in ids)
-            texts = [gather(blob, offsets, x)[:-1] for x in lists]
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(texts, pa.binary()).cast(pa.string())], ["id", "ids", "decoded"])
+            lists = (x.values.to_numpy(zero_copy_only=False) if x.is_valid else np.empty(0, np.int32) for x in ids)
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, decoder.decode(lists)], ["id", "ids", "decoded"])
 
     return encoded.select("id", "ids").mapInArrow(decoded, id_schema(encoded, "id", "ids array<int>, decoded string"))

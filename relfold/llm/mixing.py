@@ -87,11 +87,13 @@ def small(df: DataFrame, name: str) -> DataFrame:
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", keep: Sequence[str] = (), weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """The ``keep`` columns and (id, src, size, source_size, target, epochs, part, taken) of each row: ``epochs`` whole repetitions and ``part`` words more make ``taken``.
+    """(id, src, size, source_size, target, epochs, part, taken) of each row: ``epochs`` whole repetitions and ``part`` words more make ``taken``. The ``keep`` columns, if any, come
+    along in one struct column ``kept``, so their names may be any.
 
     The weights are dealt to the sources in code point order, from the start again when they run out.
     """
-    full = docs.select(*keep, F.col(doc_id).alias("id"), F.col(source).cast("string").alias("src"), word_count(F.col(text)).alias("size"), hash_order(doc_id, seed).alias("place"))
+    carried = [F.struct(*keep).alias("kept")] if keep else []
+    full = docs.select(*carried, F.col(doc_id).alias("id"), F.col(source).cast("string").alias("src"), word_count(F.col(text)).alias("size"), hash_order(doc_id, seed).alias("place"))
     rows = stored(full.select("id", "src", "size", "place"))
     sizes = ranked(rows.groupBy("src").agg(F.sum("size").alias("source_size")), "src")
     weight = F.get(F.array(*[F.lit(w) for w in weights]), (F.col("rank") % len(weights)).cast("int"))
@@ -106,4 +108,4 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     before = F.sum("size").over(W.partitionBy("src").orderBy("place", "size").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("size")
     last = marked.where("r = r2").withColumn("part", F.least(F.col("size"), F.greatest(F.col("m_rest") - before, F.lit(0))).cast("long"))
     out = decided.unionByName(last).withColumn("taken", F.col("epochs") * F.col("size") + F.col("part"))
-    return out.select(*keep, "id", "src", "size", "source_size", "target", "epochs", "part", "taken")
+    return out.select(*(["kept"] if keep else []), "id", "src", "size", "source_size", "target", "epochs", "part", "taken")

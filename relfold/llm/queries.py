@@ -124,7 +124,7 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text that they decode to."""
-    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    found = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), decoded=True)
     ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     digests = [F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")]
     return found.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), *digests)

@@ -9,7 +9,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from relfold.llm import decontaminate, mixing, quality, secrets, simhash
@@ -22,16 +21,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the smallest id, of equal ids the smallest hash of the text; of equal rows one.
+    """One document of each component of fingerprints of three-word shingles within 3 bits: the smallest id, of rows without id the smallest hash of the text.
 
-    Texts of a five-word shingle similarity of 0.8 differ in about 39 of 256 bits; fingerprints are linked at 42 or fewer, so that few such pairs are missed.
+    Of several rows with that id and text the one with the smallest other columns stays.
     """
-    keyed = docs.withColumn("__row", F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("key")))
-    near = simhash.near_duplicates(keyed, "__row", "text", shingle=5, radius=23, parts=8, words=4, reach=42)
-    kept = near.select(F.col("component_id").alias("__kept")).distinct()
-    joined = keyed.join(kept, F.col("__row") == F.col("__kept"))
-    first = F.row_number().over(W.partitionBy("__row").orderBy(*[F.col(c) for c in docs.columns if c not in ("doc_id", "text")]))
-    return joined.withColumn("__n", first).where("__n = 1").select(*docs.columns)
+    keyed = docs.select(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("key")).alias("row"), F.struct(*docs.columns).alias("kept"), "text")
+    near = simhash.near_duplicates(keyed, "row", "text", shingle=3, radius=3)
+    first = keyed.groupBy("row").agg(F.min("kept").alias("kept"))
+    return first.join(near.select(F.col("component_id").alias("row")).distinct(), "row").select("kept.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,9 +42,13 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes words of, with how many: whole repetitions, words of a partial one, and both together."""
-    mixed = mixing.mix(docs, keep=docs.columns)
-    return mixed.where("taken > 0").select(*docs.columns, "size", "source_size", "target", "epochs", "part", "taken")
+    """The documents that the mix takes words of, with how many: whole repetitions, words of a partial one, and both together.
+
+    Where documents have a column of such a name already, the new one gets ``mix_`` in front.
+    """
+    taken = mixing.mix(docs, keep=docs.columns).where("taken > 0")
+    have = {c.lower() for c in docs.columns}
+    return taken.select("kept.*", *[F.col(m).alias(f"mix_{m}" if m in have else m) for m in ("size", "source_size", "target", "epochs", "part", "taken")])
 
 
 STAGES = [("quality rules", quality_rules), ("simhash near-dedup", near_dedup), ("benchmark decontamination", decontamination), ("secret scan", secret_scan), ("source mix", source_mix)]

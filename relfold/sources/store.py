@@ -8,6 +8,8 @@ shuffle.
 from __future__ import annotations
 
 import hashlib
+import re
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +26,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
+# How the file systems that Spark reads through write the status of a file; the fields between do not matter.
+STATUS = re.compile(r"path=([^;]*); isDirectory=false; length=(\d+);.*?modification_time=(\d+)")
+
+
+def file_versions(spark: SparkSession, files: Iterable[str]) -> list[str]:
+    """Path, length and modification time of each file, from one listing for each folder, so that a rewritten file gives another list."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = {p.toString(): p for f in files for p in [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(f))]}
+    folders = {p.getParent().toString(): p.getParent() for p in paths.values()}
+    found: dict[str, str] = {}
+    for folder in folders.values():
+        listing = jvm.java.util.Arrays.asList(folder.getFileSystem(conf).listStatus(folder)).toString()
+        for path, length, changed in STATUS.findall(listing):
+            found[jvm.org.apache.hadoop.fs.Path(path).toUri().getPath()] = f"{length}:{changed}"
+    return sorted(f"{name}:{found.get(p.toUri().getPath(), 'unknown')}" for name, p in paths.items())
+
+
 def spec_hash(df: DataFrame, data_key: str, params: str = "") -> str:
-    """Changes with the data key, the parameters, the columns, the plan (so with every option that shapes it) and the list of input files."""
-    text = "|".join([data_key, params, df.schema.simpleString(), str(df.semanticHash()), *sorted(df.inputFiles())])
+    """Changes with the data key, the parameters, the columns, the plan (so with every option that shapes it) and the input files: names, lengths and times."""
+    text = "|".join([data_key, params, df.schema.simpleString(), str(df.semanticHash()), *file_versions(df.sparkSession, df.inputFiles())])
     return hashlib.sha256(text.encode()).hexdigest()[:16]
 
 
@@ -42,7 +61,10 @@ def block_path(df: DataFrame, name: str, data_key: str, root: str | None = None,
 
 
 def materialize(df: DataFrame, name: str, data_key: str, root: str | None = None, params: str = "") -> DataFrame:
-    """Store the block under (name, data_key, spec hash) unless a complete copy is there; return the stored block."""
+    """Store the block under (name, data_key, spec hash) unless a complete copy is there; return the stored block.
+
+    After any input file was rewritten, the block is built anew beside the old one.
+    """
     spark = df.sparkSession
     path = block_path(df, name, data_key, root, params)
     if not _complete(spark, path):

@@ -143,3 +143,22 @@ def with_slice(df: DataFrame, keys: Sequence[str], name: str, slices: int = SLIC
     fine = F.when(block > 0, (block - 1) * 16 + reached(F.slice("_bounds", (block - 1) * 16 + 1, F.lit(16))))
     number = F.when(x.isNull(), F.lit(-1)).otherwise(F.coalesce(fine, F.lit(0)))
     return rows.withColumn("_slice", number).select(*df.columns, "_slice")
+
+
+# Keys that join_counted sends to all tasks: at most so many, and any other key has at most that part of all rows.
+SENT_SHARE = 1 << 14
+
+
+def join_counted(df: DataFrame, stats: DataFrame, key: str, weight: str, share: int | None = None, how: str = "inner") -> DataFrame:
+    """Join of ``stats``, one row per key, whose column ``weight`` tells how many rows of ``df`` the key has.
+
+    A stats table of up to ``share`` rows is sent to the tasks. Of a longer one the keys with more than 1 / share of all rows are sent (there are fewer
+    than ``share``) and the others are joined, so no task gets a hot key however the keys are dealt. ``df`` is then read twice; store it before.
+    """
+    share = share or SENT_SHARE
+    keys, rows = stats.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0))).first()
+    if keys <= share:
+        return df.join(F.broadcast(stats), key, how)
+    usual = F.broadcast(stats.where(F.col(weight) > float(rows) / share))
+    rare = stats.where(F.col(weight) <= float(rows) / share)
+    return df.join(usual, key).unionByName(df.join(usual.select(key), key, "left_anti").join(rare, key, how))

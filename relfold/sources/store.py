@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
+def stored(df: DataFrame, name: str = "step") -> DataFrame:
+    """The same rows, written to the shared folder as Parquet under a name of their own and read again: no lineage, no repeated work, sizes known to Catalyst."""
+    path = f"{shared_dir(df.sparkSession)}/relfold-steps/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # How the file systems that Spark reads through write the status of a file; the fields between do not matter.
 STATUS = re.compile(r"path=([^;]*); isDirectory=false; length=(\d+);.*?modification_time=(\d+)")
 
@@ -37,7 +45,7 @@ def file_versions(spark: SparkSession, files: Iterable[str]) -> list[str]:
     folders = {p.getParent().toString(): p.getParent() for p in paths.values()}
     found: dict[str, str] = {}
     for folder in folders.values():
-        listing = jvm.java.util.Arrays.asList(folder.getFileSystem(conf).listStatus(folder)).toString()
+        listing = "".join(status.toString() for status in folder.getFileSystem(conf).listStatus(folder))
         for path, length, changed in STATUS.findall(listing):
             found[jvm.org.apache.hadoop.fs.Path(path).toUri().getPath()] = f"{length}:{changed}"
     return sorted(f"{name}:{found.get(p.toUri().getPath(), 'unknown')}" for name, p in paths.items())

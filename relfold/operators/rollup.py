@@ -1,9 +1,10 @@
 """Roll-ups: one or two levels of history folded into one row per key.
 
 All algebraic aggregates of a roll-up, over any number of trailing windows and conditions, share one scan and one
-shuffle. Exact medians and distinct counts of ordinary keys are part of it. For hot keys distinct counts first
-de-duplicate by key and value, medians use value refinement, and everything else combines on the map side, so a hot
-key costs one buffer per map task.
+shuffle. Exact medians and distinct counts of ordinary keys are part of it. Windows of keys with many rows can
+be sums of disjoint bands (see bands). For hot keys distinct counts first de-duplicate by key and value, medians use value
+refinement, each for all columns at once, and everything else combines on the map side, so a hot key costs one buffer
+per map task.
 """
 
 from __future__ import annotations
@@ -13,8 +14,10 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from relfold.functions.aggregates import DISTINCT, HOLISTIC, aggregate_text
+from relfold.operators.bands import Bands, Window, common_time
 from relfold.operators.hotkeys import as_list, drop_null_keys, hot_keys, split_hot
 from relfold.operators.quantile import exact_quantiles
 
@@ -23,37 +26,73 @@ Spec = Mapping[str, Sequence[str]]
 
 @dataclass(frozen=True)
 class Item:
-    """One output column: an aggregate of a source column, possibly under a condition."""
+    """One output column: an aggregate of a source column, possibly under a condition. Of an item over a trailing window, ``cond`` is the whole condition."""
 
     fn: str
     source: str
     name: str
     cond: Column | str | None = None
+    window: Window | None = None
+
+    @property
+    def base(self) -> Column | str | None:
+        """The condition without the window."""
+        if self.window is None:
+            return self.cond
+        return None if self.cond == self.window.text else self.cond.removesuffix(f") AND {self.window.text}").removeprefix("(")
 
 
 def spec_items(spec: Spec, prefix: str = "", suffix: str = "", cond: Column | str | None = None) -> list[Item]:
     return [Item(fn, c, f"{prefix}{c}_{fn}{suffix}", cond) for c, fns in spec.items() for fn in fns]
 
 
+def windowed(item: Item, window: Window) -> Item:
+    """The item over a trailing window only."""
+    return replace(item, cond=f"({item.cond}) AND {window.text}" if item.cond else window.text, window=window)
+
+
 def window_items(time: str, windows: Sequence[int], spec: Spec, prefix: str = "", unit: str = "",
                  inclusive: bool = False) -> list[Item]:
     """The spec once per trailing window; time counts backwards from 0, so newer than w means time > -w."""
     out = []
     for w in windows:
-        cond = f"{time} >= -{w}" if inclusive else f"{time} > -{w}"
-        out += spec_items(spec, prefix, f"_{w}{unit}", cond)
+        out += [windowed(i, Window(time, w, inclusive)) for i in spec_items(spec, prefix, f"_{w}{unit}")]
     return out
 
 
-def _distinct_counts(df: DataFrame, keys: list[str], source: str, items: Sequence[Item]) -> DataFrame:
-    """Distinct values of one column per key under any number of conditions, in one pass.
+def _typed(df: DataFrame, source: str) -> str:
+    """A column as a struct of a whole number, a real number and a text, one of them set, so that columns of all types stand below each other."""
+    kind = df.schema[source].dataType
+    slots = ["CAST(NULL AS BIGINT)", "CAST(NULL AS DOUBLE)", "CAST(NULL AS STRING)"]
+    whole, real = isinstance(kind, T.IntegralType), isinstance(kind, (T.DoubleType, T.FloatType))
+    slots[0 if whole else 1 if real else 2] = f"CAST({source} AS {'BIGINT' if whole else 'DOUBLE' if real else 'STRING'})"
+    return f"{slots[0]} AS _i, {slots[1]} AS _d, {slots[2]} AS _t"
+
 
-    One row per (key, value) first, flagged by the conditions any of its rows meets; then the flags are counted.
+def _distinct_counts(df: DataFrame, keys: list[str], items: Sequence[Item]) -> DataFrame:
+    """Distinct values per key of any number of columns under any number of conditions, in one pass.
+
+    The columns stand below each other: one row per (key, column, value) first, flagged by the conditions any of its rows meets; then the flags are counted.
     """
-    flags = ["1" if i.cond is None else f"max(CASE WHEN {i.cond} THEN 1 ELSE 0 END)" for i in items]
-    pairs = fold(df, [*keys, source], ["count(1) AS _n", *[f"{f} AS _f{k}" for k, f in enumerate(flags)]])
-    counts = [f"CASE WHEN max(_f{k}) > 0 THEN sum(CASE WHEN {source} IS NOT NULL THEN _f{k} ELSE 0 END) END AS {i.name}" for k, i in enumerate(items)]
-    return fold(pairs, keys, counts)
+    sources = list(dict.fromkeys(i.source for i in items))
+    met = [f"CASE WHEN {i.cond} THEN 1 ELSE 0 END" if i.cond is not None else "1" for i in items]
+    rows = df.selectExpr(*keys, *[f"{m} AS _f{k}" for k, m in enumerate(met)],
+                         f"explode(array({', '.join(f'struct({n} AS _c, {_typed(df, c)})' for n, c in enumerate(sources))})) AS _s")
+    values = fold(rows, [*keys, "_s"], [f"max(_f{k}) AS _f{k}" for k in range(len(items))])
+    counts = []
+    for k, i in enumerate(items):
+        own = f"_s._c = {sources.index(i.source)}"
+        count = f"coalesce(sum(_f{k}) FILTER (WHERE {own} AND (_s._i IS NOT NULL OR _s._d IS NOT NULL OR _s._t IS NOT NULL)), 0)"
+        counts.append(f"CASE WHEN max(_f{k}) FILTER (WHERE {own}) > 0 THEN {count} END AS {i.name}")
+    return fold(values, keys, counts)
+
+
+def _medians(df: DataFrame, keys: list[str], items: Sequence[Item]) -> DataFrame:
+    """Exact medians of any number of columns under any number of conditions: the values stand below each other, so one refinement finds them all."""
+    values = ", ".join(f"struct({k} AS _item, CAST({i.source if i.cond is None else f'CASE WHEN {i.cond} THEN {i.source} END'} AS DOUBLE) AS _x)" for k, i in enumerate(items))
+    stacked = df.selectExpr(*keys, f"inline(array({values}))")
+    found = exact_quantiles(stacked, [*keys, "_item"], "_x")
+    return fold(found, keys, [f"max(q0) FILTER (WHERE _item = {k}) AS {i.name}" for k, i in enumerate(items)])
 
 
 def fold(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -83,13 +122,16 @@ WIDE = 32
 
 
 def rollup_items(df: DataFrame, key, items: Sequence[Item], order: Sequence[str] | None = None, extra: Sequence[str] = (),
-                 hot_rows: int | None = None, derive: Sequence[Mapping[str, str]] = (), together: Sequence[str] | None = None) -> DataFrame:
+                 hot_rows: int | None = None, derive: Sequence[Mapping[str, str]] = (), together: Sequence[str] | None = None,
+                 bands: bool = False) -> DataFrame:
     """One row per key with every item, plus any extra aggregate columns ("text AS name").
 
     A narrow roll-up combines on the map side and shuffles buffers. A wide one shuffles the pruned input rows by the
     key and folds them there, because hundreds of partial aggregates per key outweigh the rows they stand for; only
     hot keys keep the map-side combine. ``derive`` adds row columns after that shuffle. ``together`` (some of the
-    keys) asks for the shuffle by those, so that a following roll-up by them needs none.
+    keys) asks for the shuffle by those, so that a following roll-up by them needs none. ``bands`` folds the trailing
+    windows of a wide roll-up by disjoint bands, which pays where keys have many more rows than there are windows; for
+    hot keys that is always done.
     """
     keys = as_list(key)
     order = as_list(order) if order else None
@@ -107,26 +149,24 @@ def rollup_items(df: DataFrame, key, items: Sequence[Item], order: Sequence[str]
     def columns(of: Sequence[Item]) -> list[str]:
         return [*[f"{aggregate_text(i.fn, i.source, i.cond, order)} AS {i.name}" for i in of], *extra]
 
+    windows = common_time(items) if not extra and all(i.window or not isinstance(i.cond, Column) for i in items) else []
+
+    def folded(rows: DataFrame, of: Sequence[Item], banded: bool) -> DataFrame:
+        return Bands(keys, of, windows, order).fold(rows) if banded and len(windows) > 1 else fold(rows, keys, columns(of))
+
     def by_key(rows: DataFrame) -> DataFrame:
         # no key here has more than HOT_ROWS rows, so exact medians and distinct sets fit one task
-        rows, named = prepare(rows.repartition(*place) if wide else rows)
-        return fold(rows, keys, columns(named))
+        return folded(*prepare(rows.repartition(*place) if wide else rows), bands and wide)
 
     if hot is None:
         return by_key(df)
     cold, heavy = split_hot(df, place, hot)
     heavy, named = prepare(heavy)
-    parts = []
-    simple = columns([i for i in named if i.fn not in HOLISTIC | DISTINCT])
-    if simple:
-        parts.append(fold(heavy, keys, simple))
-    distinct = [i for i in named if i.fn in DISTINCT]
-    parts += [_distinct_counts(heavy, keys, c, [i for i in distinct if i.source == c]) for c in dict.fromkeys(i.source for i in distinct)]
-    for i in named:
-        if i.fn in HOLISTIC:
-            x = i.source if i.cond is None else f"CASE WHEN {i.cond} THEN {i.source} END"
-            one = exact_quantiles(heavy.selectExpr(*keys, f"{x} AS _x"), keys, "_x")
-            parts.append(one.select(*keys, F.col("q0").alias(i.name)))
+    simple = [i for i in named if i.fn not in HOLISTIC | DISTINCT]
+    distinct, medians = ([i for i in named if i.fn in kind] for kind in (DISTINCT, HOLISTIC))
+    parts = [folded(heavy, simple, True)] if simple else [fold(heavy, keys, extra)] if extra else []
+    parts += [_distinct_counts(heavy, keys, distinct)] if distinct else []
+    parts += [_medians(heavy, keys, medians)] if medians else []
     done = parts[0]
     for part in parts[1:]:
         done = done.join(part, keys, "left")
@@ -140,12 +180,12 @@ def rollup(df: DataFrame, key, spec: Spec, order=None, prefix: str = "", suffix:
 
 
 def rollup_windows(df: DataFrame, key, time: str, windows: Sequence[int], spec: Spec, order=None, prefix: str = "",
-                   unit: str = "", inclusive: bool = False, hot_rows: int | None = None) -> DataFrame:
+                   unit: str = "", inclusive: bool = False, hot_rows: int | None = None, bands: bool = False) -> DataFrame:
     """The same spec over several trailing windows in one pass; NULL where a key has no row in a window."""
     items = window_items(time, windows, spec, prefix, unit, inclusive)
     widest = max(windows)
     kept = df.where(F.col(time) >= -widest if inclusive else F.col(time) > -widest)
-    return rollup_items(kept, key, items, order, hot_rows=hot_rows)
+    return rollup_items(kept, key, items, order, hot_rows=hot_rows, bands=bands)
 
 
 def rollup_two_level(df: DataFrame, entity, child, inner: Spec, outer: Spec, order=None, prefix: str = "",

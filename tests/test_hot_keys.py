@@ -109,6 +109,63 @@ def test_rollup_with_medians_and_distinct_counts(skewed, hot_rows):
             assert x == (pytest.approx(y) if y is not None else None), (k, name)
 
 
+EVERY = ["count", "size", "sum", "mean", "min", "max", "range", "std", "var", "skew", "kurt", "median", "nunique", "first", "last"]
+
+
+def rows_with_odd_bands(spark):
+    """Keys with constant values, single rows, no values, no times, bands without rows, and values far from each other in different bands."""
+    rnd = random.Random(4)
+    data = [(9, None, 0, 1.0, 5, "a"), (9, None, 1, None, None, None), (10, -3, 2, 7.5, 1, "b"), (11, -1, 3, None, None, None), (11, -90, 4, 2.0, 3, "c")]
+    for i in range(900):
+        k = rnd.randint(0, 6) if i % 3 else 0
+        t = None if rnd.random() < 0.05 else -rnd.choice([0, 1, 2, 3, 6, 6, 7, 12, 13, 28, 30, 55, 56, 200])
+        v = 4.25 if k == 5 else None if rnd.random() < 0.1 else round(rnd.gauss(1e6 if t and t < -20 else 0, 30), 2)
+        data.append((k, t, 10 + i, v, rnd.choice([None, 1, 2, 3, 50]), rnd.choice("abcde")))
+    return spark.createDataFrame(data, "k int, t int, id int, v double, n int, c string").repartition(5)
+
+
+@pytest.mark.parametrize("inclusive", [False, True])
+@pytest.mark.parametrize("hot_rows", [None, 0, 200])
+def test_bands_give_what_each_window_gives(spark, inclusive, hot_rows):
+    df = rows_with_odd_bands(spark)
+    spec = {"v": EVERY, "n": EVERY, "c": ["nunique", "min", "last", "count"]}
+    items = rollup.spec_items(spec) + rollup.window_items("t", [28, 3, 12, 55], spec, unit="u", inclusive=inclusive)
+    items += [rollup.windowed(i, rollup.Window("t", w, inclusive)) for w in (28, 3, 12, 55) for i in rollup.spec_items({"v": EVERY, "n": ["nunique"]}, suffix=f"_{w}_pos", cond="v > 0 OR n = 2")]
+    items += rollup.spec_items({"v": EVERY}, suffix="_ab", cond="c IN ('a', 'b')")
+    assert len(rollup.common_time(items)) == 4 and {i.base for i in items} == {None, "v > 0 OR n = 2", "c IN ('a', 'b')"}
+    found = {r["k"]: r for r in rollup.rollup_items(df, "k", items, ["t", "id"], hot_rows=hot_rows, bands=True).collect()}
+    assert len(found) == 10
+    for at in range(0, len(items), 30):
+        some = items[at : at + 30]
+        for r in rollup.rollup_items(df, "k", some, ["t", "id"]).collect():
+            for i in some:
+                x, y = r[i.name], found[r["k"]][i.name]
+                assert (x is None) == (y is None) and (x == y or x == pytest.approx(y, rel=1e-6, abs=1e-6)), (r["k"], i.name, x, y)
+
+
+def test_aggregates_over_rows_do_not_grow_with_the_windows(spark):
+    df = rows_with_odd_bands(spark)
+    sizes = []
+    for widths in ([28, 3], [28, 3, 12, 55, 6, 1]):
+        items = rollup.spec_items({"v": EVERY, "n": EVERY}) + rollup.window_items("t", widths, {"v": EVERY, "n": EVERY})
+        text = rollup.rollup_items(df, "k", items, ["t", "id"], bands=True)._jdf.queryExecution().optimizedPlan().toString()
+        lines = [x for x in text.splitlines() if re.search(r"Aggregate \[k#\d+, _band", x)]
+        assert len(lines) == 1 and "collect_set" not in text
+        sizes.append(lines[0].count(" AS _p"))
+        executed = rollup.rollup_items(df, "k", items, ["t", "id"], bands=True)._jdf.queryExecution().executedPlan().toString()
+        assert executed.count("Exchange hashpartitioning") == 1
+    assert sizes[0] == sizes[1] < 60
+
+
+def test_medians_of_hot_keys_share_one_refinement(skewed):
+    texts = []
+    for n in (1, 4):
+        items = [rollup.Item("median", "v", f"m{i}", f"id % 5 <> {i}") for i in range(n)] + [rollup.Item("median", "t", "mt")]
+        texts.append(rollup._medians(skewed, ["k"], items)._jdf.queryExecution().optimizedPlan().toString())
+    reads = [t.count("LogicalRDD") + t.count("Scan ExistingRDD") for t in texts]
+    assert reads[0] == reads[1]
+
+
 def test_wide_rollup_places_rows_once(skewed):
     spec = {"v": ["count", "sum", "mean", "min", "max", "std", "skew", "median", "first", "last", "range"]}
     items = [i for w in (40, 30, 20, 10) for i in rollup.spec_items(spec, suffix=f"_{w}", cond=f"t < {w}")]

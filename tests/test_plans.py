@@ -14,7 +14,8 @@ from relfold.plans.steps import run
 from relfold.sources import roles
 
 # these train a model or build vectors when they are called
-LEARNING = {"train_boosted", "score_boosted", "feature_importance", "cross_validated_scores", "topic_mixture", "nonneg_factors", "svd_factors", "entity_embedding", "train_and_submit"}
+LEARNING = {"train_boosted", "score_boosted", "feature_importance", "cross_validated_scores", "topic_mixture", "nonneg_factors", "svd_factors", "entity_embedding", "train_and_submit",
+            "score_boosted_facts", "feature_importance_facts", "cross_validated_facts", "topic_mixture_facts", "svd_leading_axis", "entity_embedding_facts"}
 STORED = {"feature_matrix", "materialize_block", "csv_roundtrip", "holdout_split"}
 
 

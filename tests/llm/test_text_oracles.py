@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import Row
 
 from relfold.llm.queries import ORACLES, QUERIES
 
@@ -11,9 +12,7 @@ def test_same_rows(spark, sf_dir, name):
     con = duckdb.connect()
     for t in ("documents", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
-    expected = con.execute(ORACLES[name]).df()
-    found = QUERIES[name](spark, sf_dir).toPandas()
-    names = sorted(found.columns)
-    assert sorted(expected.columns) == names
-    rows = lambda df: sorted(map(str, df[names].itertuples(index=False, name=None)))
-    assert rows(found) == rows(expected)
+    found, expected = QUERIES[name](spark, sf_dir), con.execute(ORACLES[name])
+    columns = [c[0] for c in expected.description]
+    assert sorted(columns) == sorted(found.columns)
+    assert sorted(map(str, found.select(columns).collect())) == sorted(str(Row(**dict(zip(columns, r, strict=True)))) for r in expected.fetchall())

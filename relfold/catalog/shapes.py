@@ -124,6 +124,13 @@ def one_hot(spark, sf_dir):
     return encode.one_hot(driver_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), "o_orderstatus")[0]
 
 
+@query("one_hot_codes", "SELECT l_orderkey, l_linenumber, (dense_rank() OVER (ORDER BY l_partkey) - 1)::INT AS l_partkey_code FROM lineitem")
+def one_hot_codes(spark, sf_dir):
+    """Every part as a category of its own: the place of the 1 in the sparse vector of each line."""
+    wide = encode.one_hot_vector(driver_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), "l_partkey")
+    return wide.select("l_orderkey", "l_linenumber", "l_partkey_code")
+
+
 @query("one_hot_pruned", "SELECT l_orderkey, l_partkey, l_linenumber, l_returnflag, " + ", ".join(f"CASE WHEN l_returnflag = '{s}' THEN 1 ELSE 0 END AS l_returnflag_{s.lower()}" for s in "ANR") + " FROM lineitem")
 def one_hot_pruned(spark, sf_dir):
     li = driver_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag")

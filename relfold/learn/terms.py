@@ -14,11 +14,10 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml.clustering import LDA
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from relfold.operators.encode import sparse_vector
 from relfold.operators.hotkeys import join_counted, spread
 from relfold.operators.ordered import with_position
 from relfold.sources.store import stored
@@ -87,11 +86,9 @@ def indexed_counts(df: DataFrame, key: str, token: str, vocab: DataFrame) -> Dat
 
 
 def to_vectors(counts: DataFrame, key: str, size: int) -> DataFrame:
-    """(id, features): one sparse vector per id, stored. The vector is read from its JSON form, so no Python runs; it has at most ``size`` entries."""
+    """(id, features): one sparse vector per id, stored; it has at most ``size`` entries."""
     pairs = counts.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("idx", "n"))).alias("_pairs"))
-    parts = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), F.col("_pairs.idx").alias("indices"), F.col("_pairs.n").cast("array<double>").alias("values"))
-    kind = T.StructType([T.StructField("features", VectorUDT())])
-    return stored(pairs.select(key, F.from_json(F.to_json(F.struct(parts.alias("features"))), kind)["features"].alias("features")), "vectors")
+    return stored(pairs.select(key, sparse_vector(size, F.col("_pairs.idx"), F.col("_pairs.n")).alias("features")), "vectors")
 
 
 def topics(fit: DataFrame, data: DataFrame, key: str, k: int = 5, seed: int = 520, max_iter: int = 20) -> DataFrame:

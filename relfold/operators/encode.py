@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relfold.operators.hotkeys import as_list, drop_null_keys, join_spread, one_group
+from relfold.operators.hotkeys import as_list, drop_null_keys, join_counted, join_spread, one_group
+from relfold.operators.ordered import with_position
 from relfold.operators.quantile import group_quantiles
 from relfold.operators.rollup import column_label, common_values, pivot_values
+from relfold.sources.store import stored
 
 
 def text_columns(df: DataFrame) -> list[str]:
@@ -44,6 +47,26 @@ def one_hot(df: DataFrame, cols=None, null_category: bool = True, keep_source: b
     return (out if keep_source else out.drop(*cols)), list(new)
 
 
+def sparse_vector(size: int, indices: Column, values: Column) -> Column:
+    """A vector for Spark ML from ascending indices and their values. It is read from its JSON form, so no Python runs."""
+    parts = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), indices.alias("indices"), values.cast("array<double>").alias("values"))
+    kind = T.StructType([T.StructField("vector", VectorUDT())])
+    return F.from_json(F.to_json(F.struct(parts.alias("vector"))), kind)["vector"]
+
+
+def one_hot_vector(df: DataFrame, column: str) -> DataFrame:
+    """Adds ``{column}_code``, the place of the value among all values in order from 0 (NULL for NULL), and ``{column}_onehot``, a sparse vector with a 1 at that
+    place (all 0 for NULL). For any number of values: the dictionary is a stored table that is joined, never a list on the driver."""
+    code, rows = f"{column}_code", df.where(F.col(column).isNotNull())
+    values = stored(rows.groupBy(column).agg(F.count(F.lit(1)).alias("_rows")), "values")
+    numbered = with_position(values.withColumn("_all", one_group(column)), "_all", column, code)
+    codes = stored(numbered.select(column, "_rows", (F.col(code) - 1).cast("int").alias(code)), "codes")
+    coded = join_counted(rows, codes, column, "_rows").select(*df.columns, code)
+    whole = coded.unionByName(df.where(F.col(column).isNull()).withColumn(code, F.lit(None).cast("int")))
+    here = F.filter(F.array(F.col(code)), lambda c: c.isNotNull())
+    return whole.withColumn(f"{column}_onehot", sparse_vector(codes.count(), here, F.transform(here, lambda _: F.lit(1.0))))
+
+
 def prune_rare(df: DataFrame, cols, min_count: int = 100) -> tuple[DataFrame, list[str]]:
     """Drop every 0/1 column with fewer than min_count ones or fewer than min_count zeros."""
     cols = as_list(cols)
@@ -104,11 +127,11 @@ def group_median(df: DataFrame, key, column: str, name: str | None = None, hot_r
 
 
 def pair_affinity(df: DataFrame, first, second, name: str = "affinity") -> DataFrame:
-    """n(first, second) / n(first) / n(second) for every pair that occurs."""
+    """n(first, second) / n(first) / n(second) for every pair that occurs. The pairs are stored once; values in a large part of all pairs are sent, others joined."""
     k1, k2 = as_list(first), as_list(second)
-    pairs = drop_null_keys(df, [*k1, *k2]).groupBy(*k1, *k2).agg(F.count(F.lit(1)).alias("pair_count"))
-    left = pairs.groupBy(*k1).agg(F.sum("pair_count").alias("first_count"))
-    right = pairs.groupBy(*k2).agg(F.sum("pair_count").alias("second_count"))
-    out = join_spread(join_spread(pairs, left, k1), right, k2)
+    out = pairs = stored(drop_null_keys(df, [*k1, *k2]).groupBy(*k1, *k2).agg(F.count(F.lit(1)).alias("pair_count")), "pairs")
+    for keys, total in ((k1, "first_count"), (k2, "second_count")):
+        stats = pairs.groupBy(*keys).agg(F.sum("pair_count").alias(total), F.count(F.lit(1)).alias("_pairs"))
+        out = join_counted(out, stats, keys, "_pairs").drop("_pairs")
     value = F.col("pair_count").cast("double") / F.col("second_count") / F.col("first_count")
-    return out.withColumn(name, value)
+    return out.select(*pairs.columns, "first_count", "second_count", value.alias(name))

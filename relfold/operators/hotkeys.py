@@ -134,7 +134,13 @@ def with_slice(df: DataFrame, keys: Sequence[str], name: str, slices: int = SLIC
     found = found.where(F.col("_bounds").isNotNull()).withColumn("_firsts", F.filter("_bounds", lambda _, i: i % 16 == 0))
     ensure_checkpoint_dir(df.sparkSession)
     found = found.checkpoint()
-    rows = df.join(F.broadcast(found), list(keys), "left") if found.count() <= SENT_KEYS else join_spread(df, found, keys)
+    # a NULL among the keys (a tied order column) is a value like any other
+    safe = lambda t, prefix: t.select(*[c for c in t.columns if c not in keys], *[F.col(c).alias(f"{prefix}{c}") for c in keys])
+    if found.count() <= SENT_KEYS:
+        same = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in keys]
+        rows = df.join(F.broadcast(safe(found, "_b_")), same, "left").drop(*[f"_b_{c}" for c in keys])
+    else:
+        rows = join_spread(df, found, keys)
 
     def reached(bounds: Column) -> Column:
         return F.size(F.filter(bounds, lambda b: b <= x))
@@ -145,20 +151,55 @@ def with_slice(df: DataFrame, keys: Sequence[str], name: str, slices: int = SLIC
     return rows.withColumn("_slice", number).select(*df.columns, "_slice")
 
 
+# Rows of a key with one value of an order column above which the next order column cuts them.
+TIED_ROWS = HOT_ROWS // 16
+
+
+def with_order_slice(df: DataFrame, keys: Sequence[str], order: Sequence[str], tied_rows: int | None = None, slices: int = SLICES) -> DataFrame | None:
+    """Adds ``_slice``, an array that sorts as the whole order does: for each key the slice of the first order column, then, where more than ``tied_rows``
+    rows share a value of it (or have none), where such values lie and the slices of these rows by the next columns. None if the first column's type has no slices.
+
+    Equal values of the whole order stay together, so slices are even unless the order is not total.
+    """
+    first, rest = order[0], list(order[1:])
+    cut = with_slice(df, keys, first, slices)
+    if cut is None:
+        return None
+    tied = hot_keys(df, [*keys, first], TIED_ROWS if tied_rows is None else tied_rows) if rest else None
+    if tied is None:
+        return cut.withColumn("_slice", F.array(F.col("_slice").cast("int")))
+    known = tied.where(F.col(first).isNotNull()).groupBy(*keys).agg(F.array_sort(F.collect_list(first)).alias("_tied"))
+    cut = cut.join(F.broadcast(known), list(keys), "left")
+    x = F.col(first)
+    # even numbers lie between the tied values, odd ones are the tied values themselves; rows without a value come first
+    below = F.coalesce(F.size(F.filter("_tied", lambda v: v < x)), F.lit(0))
+    here = F.coalesce(F.array_contains("_tied", x), F.lit(False)).cast("int")
+    place = F.array(F.col("_slice").cast("int"), F.when(x.isNull(), F.lit(-1)).otherwise(2 * below + here).cast("int"))
+    placed = cut.withColumn("_slice", place).drop("_tied")
+    match = F.broadcast(tied.select(*[F.col(c).alias(f"_t_{c}") for c in (*keys, first)]))
+    same = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in (*keys, first)]
+    single = placed.join(match, same, "left_anti")
+    many = placed.join(match, same, "left_semi").withColumnRenamed("_slice", outer := f"_outer{len(rest)}")
+    inner = with_order_slice(many, [*keys, first], rest, tied_rows, slices)
+    if inner is None:
+        return placed
+    return single.unionByName(inner.withColumn("_slice", F.concat(outer, "_slice")).select(*single.columns))
+
+
 # Keys that join_counted sends to all tasks: at most so many, and any other key has at most that part of all rows.
 SENT_SHARE = 1 << 14
 
 
-def join_counted(df: DataFrame, stats: DataFrame, key: str, weight: str, share: int | None = None, how: str = "inner") -> DataFrame:
-    """Join of ``stats``, one row per key, whose column ``weight`` tells how many rows of ``df`` the key has.
+def join_counted(df: DataFrame, stats: DataFrame, key: str | Sequence[str], weight: str, share: int | None = None) -> DataFrame:
+    """Inner join of ``stats``, one row per key, whose column ``weight`` tells how many rows of ``df`` the key has.
 
     A stats table of up to ``share`` rows is sent to the tasks. Of a longer one the keys with more than 1 / share of all rows are sent (there are fewer
     than ``share``) and the others are joined, so no task gets a hot key however the keys are dealt. ``df`` is then read twice; store it before.
     """
-    share = share or SENT_SHARE
+    share, key = share or SENT_SHARE, as_list(key)
     keys, rows = stats.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0))).first()
     if keys <= share:
-        return df.join(F.broadcast(stats), key, how)
+        return df.join(F.broadcast(stats), key)
     usual = F.broadcast(stats.where(F.col(weight) > float(rows) / share))
     rare = stats.where(F.col(weight) <= float(rows) / share)
-    return df.join(usual, key).unionByName(df.join(usual.select(key), key, "left_anti").join(rare, key, how))
+    return df.join(usual, key).unionByName(df.join(usual.select(key), key, "left_anti").join(rare, key))

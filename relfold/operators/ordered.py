@@ -3,7 +3,7 @@
 The order must be total (end it with a tie-break), otherwise equal rows may swap between runs.
 
 Ordinary keys use a window partitioned by the key. A hot key is cut into its own equal-depth slices of the first order
-column; each slice is its own window partition, and only the few rows at slice edges (lag) or one count per slice
+column, and where many rows share a value of it, by the next columns; each slice is its own window partition, and only the few rows at slice edges (lag) or one count per slice
 (rank) are combined per key.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from relfold.operators.hotkeys import as_list, drop_null_keys, hot_keys, join_spread, split_hot, with_slice
+from relfold.operators.hotkeys import as_list, drop_null_keys, hot_keys, join_spread, split_hot, with_order_slice
 
 
 def _sorting(order: Sequence[str], descending: bool) -> list[Column]:
@@ -27,12 +27,10 @@ def _window(keys: Sequence[str], order: Sequence[str], descending: bool = False)
 
 
 def _sliced_rank(df: DataFrame, keys: list[str], order: list[str], name: str, descending: bool) -> DataFrame:
-    cut = with_slice(df, keys, order[0])
+    cut = with_order_slice(df, keys, order)
     if cut is None:
         return df.withColumn(name, F.row_number().over(_window(keys, order, descending)).cast("bigint"))
-    if descending:
-        cut = cut.withColumn("_slice", -F.col("_slice"))
-    before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(*keys).orderBy(F.desc("_slice") if descending else F.asc("_slice")).rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
         .select(*keys, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
@@ -68,11 +66,9 @@ def group_rank(df: DataFrame, key, value, ascending: bool = True, name: str = "r
 
 def _sliced_shift(df: DataFrame, keys: list[str], order: list[str], value: str, n: int, name: str,
                   descending: bool) -> DataFrame:
-    cut = with_slice(df, keys, order[0])
+    cut = with_order_slice(df, keys, order)
     if cut is None:
         return df.withColumn(name, F.lag(value, n).over(_window(keys, order, descending)))
-    if descending:
-        cut = cut.withColumn("_slice", -F.col("_slice"))
     inside = [*keys, "_slice"]
     shifted = (
         cut.withColumn(name, F.lag(value, n).over(_window(inside, order, descending)))

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,6 +77,35 @@ def test_slices_are_even_for_each_key(spark, value):
     assert [s for _, s in sorted(rows)] == sorted(s for _, s in rows)
 
 
+def one_day(spark):
+    """One key holds a third of the rows; most of those are of one day, many have no day, and the next column ties as well."""
+    rnd = random.Random(6)
+    rows = []
+    for i in range(6000):
+        k = 0 if i % 3 == 0 else rnd.randint(1, 40)
+        day = rnd.choice([5] * 8 + [None] * 3 + [1, 9, 7]) if k == 0 else rnd.randint(0, 9)
+        rows.append((k, day, rnd.choice(["noon", "noon", "dawn", None]), i, float(i % 17) if i % 9 else None))
+    return spark.createDataFrame(rows, "k int, day int, hour string, id int, v double").repartition(6)
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_ties_are_cut_by_the_next_order_columns(spark, monkeypatch, descending):
+    monkeypatch.setattr(hotkeys, "TIED_ROWS", 100)
+    df, order = one_day(spark), ["day", "hour", "id"]
+    same(ordered.with_position(df, "k", order, descending=descending), ordered.with_position(df, "k", order, descending=descending, hot_rows=500))
+    shift = ordered.lead_value if descending else ordered.lag_value
+    for n in (1, 3):
+        same(shift(df, "k", order, "v", n), shift(df, "k", order, "v", n, hot_rows=500))
+    hot = df.where("k = 0")
+    cut = hotkeys.with_order_slice(hot, ["k"], order)
+    sizes = [r["count"] for r in cut.groupBy("_slice").count().collect()]
+    first_only = hotkeys.with_slice(hot, ["k"], "day").groupBy("_slice").count().agg(F.max("count")).first()[0]
+    assert first_only > 1000 and len(sizes) > 200 and max(sizes) < 130
+    low = lambda x: (x is not None, x if x is not None else 0)
+    rows = sorted(((low(r["day"]), (r["hour"] is not None, r["hour"] or ""), r["id"]), r["_slice"]) for r in cut.collect())
+    assert [s for _, s in rows] == sorted(s for _, s in rows) and len(rows) == hot.count()
+
+
 def test_null_and_absent_order_values_have_a_slice(spark):
     df = spark.createDataFrame([(1, None), (1, 2.0), (2, None)], "k int, x double")
     assert sorted(r["_slice"] for r in hotkeys.with_slice(df, ["k"], "x").collect())[:2] == [-1, -1]
@@ -109,6 +139,33 @@ def test_rollup_with_medians_and_distinct_counts(skewed, hot_rows):
             assert x == (pytest.approx(y) if y is not None else None), (k, name)
 
 
+@pytest.mark.parametrize("share", [None, 4])
+def test_affinity_of_common_values(skewed, monkeypatch, share):
+    if share:
+        monkeypatch.setattr(hotkeys, "SENT_SHARE", share)
+    pairs = Counter((r["k"], r["w"]) for r in skewed.collect())
+    first, second = Counter(), Counter()
+    for (k, w), n in pairs.items():
+        first[k] += n
+        second[w] += n
+    found = {(r["k"], r["w"]): list(r)[2:] for r in encode.pair_affinity(skewed, "k", "w").collect()}
+    assert found == {(k, w): [n, first[k], second[w], pytest.approx(n / second[w] / first[k])] for (k, w), n in pairs.items()}
+
+
+@pytest.mark.parametrize("share", [None, 100])
+def test_one_hot_of_very_many_values(spark, monkeypatch, share):
+    if share:
+        monkeypatch.setattr(hotkeys, "SENT_SHARE", share)
+    df = spark.range(90_000).selectExpr("id", "CASE WHEN id % 1000 = 0 THEN NULL WHEN id % 3 = 0 THEN 'hot' ELSE concat('v', id % 70000) END AS c")
+    out = encode.one_hot_vector(df, "c")
+    values = sorted({r["c"] for r in df.collect()} - {None})
+    assert len(values) > 40_000 and out.count() == 90_000
+    place = {v: i for i, v in enumerate(values)}
+    for r in out.where("id % 97 = 0 OR c IS NULL").collect():
+        vector = r["c_onehot"]
+        assert vector.size == len(values) and r["c_code"] == place.get(r["c"]) and list(vector.indices) == ([] if r["c"] is None else [place[r["c"]]]) and all(vector.values == 1)
+
+
 EVERY = ["count", "size", "sum", "mean", "min", "max", "range", "std", "var", "skew", "kurt", "median", "nunique", "first", "last"]
 
 

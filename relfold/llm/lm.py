@@ -6,8 +6,8 @@ its class; other words share their class's mass by their counts, each plus one,
 over the same vocabulary as the base.
 
 Training is truncated backpropagation in numpy inside tasks: the state runs through all of every training text, and gradients are taken through every window
-of it. Each round takes a part of the texts, every task trains on its share from the same start, and the weights are averaged by
-tokens. Scoring carries the state over window borders, so a text's likelihood is that of the whole text.
+of it. Each round takes a part of the texts, every trainer learns its share from the same start, and the weights are averaged by
+tokens. Texts are dealt to trainers by hash, in a number that follows from the corpus: the model is the same however the table is partitioned. Scoring carries the state over window borders, so a text's likelihood is that of the whole text.
 
 Counts are of all training tokens. Words up to a bound are sent to tasks with their counts; the counts of all others are joined by word.
 
@@ -20,13 +20,14 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relfold.llm.common import raw_texts, stored
+from relfold.llm.common import raw_texts, stored, values
 
 END = " "  # no word holds a blank
 # Words known to every task, with their counts: at most this many, of at most so many bytes each.
@@ -41,6 +42,10 @@ WINDOW, GROUP, TRAIN_GROUP = 32, 512, 256
 FEW, LONGER = 128, 8
 # Parts of 8 of the training texts that the rounds take.
 ROUNDS, RATE = (1, 3, 4), 0.1
+# Training tokens for each trainer, and tokens that a trainer sorts by length at a time.
+TRAINER_TOKENS, POOL = 2_000_000, 500_000
+# Weights are summed in units of 1 / UNIT.
+UNIT = 1 << 24
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -82,6 +87,11 @@ def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
+def padded(units: int, columns: int, kind=np.float32) -> np.ndarray:
+    """An empty array whose rows lie a cache line further apart than they are long: at a distance of a power of two they would push each other out of the cache."""
+    return np.empty((units, columns + 16), kind)[:, :columns]
+
+
 class Network:
     """The recurrent network over groups of texts, longest first, so that the texts still running are always the first ones."""
 
@@ -95,8 +105,10 @@ class Network:
         Symbols, states before each step, gates (update, reset), new states, and what the state adds to them before the reset.
         """
         symbols = np.concatenate([x[:n, t] for t, n in enumerate(active)])
-        given = np.ascontiguousarray(self.w["in"][symbols].T)
-        states, news, inner = (np.empty((HIDDEN, len(symbols)), given.dtype) for _ in range(3))
+        kind = self.w["in"].dtype
+        given = padded(3 * HIDDEN, len(symbols), kind)
+        given[:] = self.w["in"][symbols].T
+        states, news, inner = (padded(HIDDEN, len(symbols), kind) for _ in range(3))
         gates = given[: 2 * HIDDEN]
         weights = self.w["back"].T
         at = 0
@@ -211,8 +223,7 @@ class Network:
         by_new = (1 - update) * (1 - news * news)
         by_update = (states - news) * update * (1 - update)
         by_reset = inner * reset * (1 - reset)
-        given = np.empty((3 * HIDDEN, len(symbols)), states.dtype)  # gradient of what the symbols give
-        recurrent = np.empty_like(given)
+        given, recurrent = (padded(3 * HIDDEN, len(symbols), states.dtype) for _ in range(2))  # gradients of what the symbols and the state give
         dh = np.zeros((HIDDEN, active[0]), states.dtype)
         at = len(symbols)
         for n in reversed(active):
@@ -332,7 +343,7 @@ class Reader:
 
     def read(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(places in the dictionary or -1, symbols) of the words and the end."""
-        places = np.fromiter(map(self.place.get, found, (-1 for _ in found)), np.int64, len(found))
+        places = np.fromiter(map(self.place.get, found, repeat(-1)), np.int64, len(found))
         places = np.append(places, self.end)
         symbols = self.symbol[places]
         missing = np.flatnonzero(places[:-1] < 0)
@@ -352,29 +363,78 @@ def grouped(rows: Iterator[tuple[int, np.ndarray]], size: int = GROUP) -> Iterat
 
 # ------------------------------------------------------------------ training and scoring
 
-def fit(docs: DataFrame, vocabulary: Vocabulary, doc_id: str, text: str, rounds: tuple[int, ...] = ROUNDS) -> np.ndarray:
-    """Weights as one flat array, after a round for each part of the training texts."""
-    ctx = docs.sparkSession.sparkContext
-    known = ctx.broadcast(vocabulary.sent())
+def encoded(docs: DataFrame, training: Column, vocabulary: Vocabulary, doc_id: str, text: str) -> DataFrame:
+    """Each text read once: (id, tw, training, n_tokens, dictionary_known, dictionary_log, tail_log, symbols as 16-bit numbers).
+
+    ``dictionary_log`` and ``tail_log`` lack the counts of rare words; ``tail_log`` is what the words outside the head get within their classes.
+    """
+    known = docs.sparkSession.sparkContext.broadcast(vocabulary.sent())
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, room = Reader(known.value), np.log10(known.value["class_room"])
+        for batch in batches:
+            rows = []
+            for t in raw_texts(batch.column(2)):
+                places, symbols = reader.read(tokens(t))
+                in_dictionary, tail = places >= 0, symbols >= HEAD
+                log_counts = np.where(in_dictionary, reader.log_count[places], 0.0)
+                rows.append((row_key(t), len(places), int(in_dictionary.sum()), log_counts.sum(), log_counts[tail].sum() - room[symbols[tail] - HEAD].sum(), symbols.astype(np.int16).tobytes()))
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
+            found = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds]
+            tw, *rest = found
+            yield pa.RecordBatch.from_arrays([batch.column(0), tw, batch.column(1), *rest], ["id", "tw", "training", "n_tokens", "dictionary_known", "dictionary_log", "tail_log", "symbols"])
+
+    kind = docs.schema[doc_id].dataType.simpleString()
+    rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(training, F.lit(False)).alias("training"), F.col(text).alias("t"))
+    return rows.mapInArrow(read, f"id {kind}, tw int, training boolean, n_tokens long, dictionary_known long, dictionary_log double, tail_log double, symbols binary")
+
+
+def pools(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[list[np.ndarray]]:
+    """Texts of symbols in the order given, so many together that they reach POOL tokens, however the rows come in batches."""
+    pool: list[np.ndarray] = []
+    held = 0
+    for batch in batches:
+        for b in values(batch.column(column)):
+            pool.append(np.frombuffer(b, np.int16))
+            held += len(pool[-1])
+            if held >= POOL:
+                yield pool
+                pool, held = [], 0
+    if pool:
+        yield pool
+
+
+def fit(texts: DataFrame, vocabulary: Vocabulary, rounds: tuple[int, ...] = ROUNDS) -> np.ndarray:
+    """Weights as one flat array, after a round for each part of the training texts; ``texts`` is the stored table of ``encoded``.
+
+    Texts are dealt by a hash of their id and symbols, to a number of trainers that follows from the number of training tokens, and each trainer takes
+    them in the order of another hash. Weights are summed as whole numbers. So the model depends on the texts alone, not on how the table is stored,
+    partitioned or batched.
+    """
+    ctx = texts.sparkSession.sparkContext
     flat, done = vocabulary.start(), 0
-    part = F.pmod(F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit("round")), F.lit(sum(rounds)))
+    trainers = -(-max(vocabulary.n, 1) // TRAINER_TOKENS)
+    own = [F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("symbols")]
+    place = lambda salt, n: F.pmod(F.xxhash64(*own, F.lit(salt)), F.lit(n)).cast("int")
+    part = place("round", sum(rounds))
     for share in rounds:
         start = ctx.broadcast(flat)
 
         def trained(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
-            reader, network, weight = Reader(known.value), Network(unpacked(start.value.copy())), 0
+            network, weight = Network(unpacked(start.value.copy())), 0
             with np.errstate(over="ignore"):
-                for batch in batches:
-                    for group in grouped(((i, reader.read(tokens(t))[1]) for i, t in enumerate(raw_texts(batch.column(0)))), TRAIN_GROUP):
+                for pool in pools(batches, 0):
+                    for group in grouped(enumerate(pool), TRAIN_GROUP):
                         network.train([s for _, s in group])
                         weight += sum(len(s) for _, s in group)
             if weight:
-                now = packed(network.w).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(now)), pa.int32()), pa.array(now * weight), pa.array(np.full(len(now), weight))], ["place", "value", "weight"])
+                now = np.rint(packed(network.w).astype(np.float64) * (weight * float(UNIT))).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(now)), pa.int32()), pa.array(now), pa.array(np.full(len(now), weight))], ["place", "value", "weight"])
 
-        mine = docs.where((part >= done) & (part < done + share)).select(F.col(text).alias("t"))
-        sums = mine.mapInArrow(trained, "place int, value double, weight long").groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("value"))
-        found = sums.toArrow()  # one number for each weight
+        mine = texts.where(F.col("training") & (part >= done) & (part < done + share)).select("symbols", F.xxhash64(*own, F.lit("order")).alias("o"), place("trainer", trainers).alias("trainer"))
+        dealt = mine.repartitionById(trainers, F.col("trainer")).sortWithinPartitions("o", "symbols").select("symbols")
+        sums = dealt.mapInArrow(trained, "place int, value long, weight long").groupBy("place")
+        found = sums.agg((F.sum(F.col("value").cast("decimal(19,0)")).cast("double") / F.sum("weight") / UNIT).alias("value")).toArrow()  # one number for each weight
         if found.num_rows:
             flat = flat.copy()
             flat[np.asarray(found["place"])] = np.asarray(found["value"], np.float32)
@@ -408,39 +468,23 @@ def rare_sums(docs: DataFrame, counts: DataFrame, vocabulary: Vocabulary, doc_id
     return joined.groupBy("id", "tw").agg(F.sum(F.col("tf") * F.log10(F.col("c") + 1.0)).alias("rare_log"), F.sum("tf").alias("rare_known"))
 
 
-def network_scores(docs: DataFrame, vocabulary: Vocabulary, flat: np.ndarray, doc_id: str, text: str) -> DataFrame:
-    """(id, tw, n_tokens, dictionary_known, dictionary_log, net_log) of each row; net_log lacks the counts of rare words, as does dictionary_log."""
-    ctx = docs.sparkSession.sparkContext
-    known, weights = ctx.broadcast(vocabulary.sent()), ctx.broadcast(flat)
+def network_scores(texts: DataFrame, flat: np.ndarray) -> DataFrame:
+    """The rows of ``encoded`` with net_log in place of tail_log and symbols; net_log and dictionary_log lack the counts of rare words."""
+    weights = texts.sparkSession.sparkContext.broadcast(flat)
+    kept = ["id", "tw", "n_tokens", "dictionary_known", "dictionary_log"]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, network = Reader(known.value), Network(unpacked(weights.value))
-        room = np.log10(known.value["class_room"])
+        network = Network(unpacked(weights.value))
         for batch in batches:
-            n = batch.num_rows
-            tws, counts, kept = np.zeros(n, np.int32), np.zeros(n, np.int64), np.zeros(n, np.int64)
-            logs, net = np.zeros(n), np.zeros(n)
-
-            def rows(batch=batch, tws=tws, counts=counts, kept=kept, logs=logs, net=net) -> Iterator[tuple[int, np.ndarray]]:
-                for i, t in enumerate(raw_texts(batch.column(1))):
-                    places, symbols = reader.read(tokens(t))
-                    tws[i], counts[i] = row_key(t), len(places)
-                    in_dictionary = places >= 0
-                    kept[i] = in_dictionary.sum()
-                    log_counts = np.where(in_dictionary, reader.log_count[places], 0.0)
-                    logs[i] = log_counts.sum()
-                    tail = symbols >= HEAD
-                    net[i] = log_counts[tail].sum() - room[symbols[tail] - HEAD].sum()
-                    yield i, symbols.astype(np.int16)
-
+            net = np.array(batch.column(len(kept)))
+            rows = ((i, np.frombuffer(b, np.int16)) for i, b in enumerate(values(batch.column(len(kept) + 1))))
             with np.errstate(over="ignore"):
-                for group in grouped(rows()):
+                for group in grouped(rows):
                     net[[i for i, _ in group]] += network.score([s for _, s in group]) / np.log(10)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, (tws, counts, kept, logs, net))], ["id", "tw", "n_tokens", "dictionary_known", "dictionary_log", "net_log"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(net)], [*kept, "net_log"])
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
-    return rows.mapInArrow(scored, f"id {kind}, tw int, n_tokens long, dictionary_known long, dictionary_log double, net_log double")
+    kind = texts.schema["id"].dataType.simpleString()
+    return texts.select(*kept, "tail_log", "symbols").mapInArrow(scored, f"id {kind}, tw int, n_tokens long, dictionary_known long, dictionary_log double, net_log double")
 
 
 def score(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text", dictionary: int = DICTIONARY) -> DataFrame:
@@ -449,9 +493,10 @@ def score(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str =
     counts = stored(count_words(learned, text))
     vocabulary = Vocabulary(counts, dictionary)
     vocabulary.class_totals(counts)
-    flat = fit(learned, vocabulary, doc_id, text)
+    texts = stored(encoded(docs, training, vocabulary, doc_id, text))
+    flat = fit(texts, vocabulary)
     rare = rare_sums(docs, counts, vocabulary, doc_id, text)
-    scored = stored(network_scores(docs, vocabulary, flat, doc_id, text))
+    scored = stored(network_scores(texts, flat))
     # rows that share id and text have sent their rare words once each
     times = scored.groupBy("id", "tw").agg(F.count(F.lit(1)).alias("times"))
     same = F.col("r.id").eqNullSafe(F.col("n.id")) & (F.col("r.tw") == F.col("n.tw"))

@@ -373,6 +373,23 @@ def test_network_scores_add_to_one_and_carry_the_state():
     assert np.exp(network.score(every) - given).sum() == pytest.approx(1, abs=1e-3)
 
 
+
+def test_scores_do_not_depend_on_how_the_table_is_dealt(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(lm, "TRAINER_TOKENS", 5000)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    found = []
+    for parts, batch in ((1, 10_000), (7, 16)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            rows = lm.score(docs.repartition(parts, F.rand(parts)), F.col("doc_id") % 7 != 2).collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        found.append({r["id"]: (r["n_tokens"], r["n_known"], r["score"]) for r in rows})
+    assert found[0].keys() == found[1].keys()
+    for i, (n, known, score) in found[0].items():
+        assert found[1][i][:2] == (n, known) and found[1][i][2] == pytest.approx(score, rel=1e-5)
+
+
 def test_network_beats_the_base_on_held_out_texts(spark, sf_dir):
     held = QUERIES["op7_lm_score"](spark, sf_dir.replace("sf0.001", "sf0.01")).where("held_out")
     base, score = held.agg(F.sum("base_score"), F.sum("score")).first()

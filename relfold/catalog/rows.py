@@ -289,6 +289,12 @@ def tokens_per_entity(spark, sf_dir):
     return rel.tokens_per(driver_table(spark, sf_dir, "orders"), "o_custkey", "o_orderpriority")
 
 
+@query("arrival_documents", """SELECT o_custkey, string_agg(o_orderpriority, ' ' ORDER BY o_orderdate, o_orderkey) AS priorities FROM orders GROUP BY 1""")
+def arrival_documents(spark, sf_dir):
+    o = driver_table(spark, sf_dir, "orders")
+    return rel.tokens_per(o, "o_custkey", "o_orderpriority", name="priorities", order=["o_orderdate", "o_orderkey"]).drop("part")
+
+
 HASH = "((m + (m >> 16)) * 69069 + 1) % 2147483647"
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relfold.operators.hotkeys import as_list
+from relfold.operators.hotkeys import as_list, drop_null_keys, hot_keys, split_hot
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -125,25 +125,52 @@ def narrow_types(df: DataFrame) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
-def tokens_per(df: DataFrame, key: str, token: str, per_row: int = 100_000, name: str = "tokens",
-               hot_rows: int | None = None) -> DataFrame:
-    """Values of a column joined by blanks per id, sorted; (id, part, tokens) with at most per_row tokens in a part.
+# Tokens of a hot id that one task joins at a time.
+SEGMENT = 100_000
 
-    Almost every id fits part 0. Longer ones continue in the next part, so no row or task grows with a hot id.
+
+def tokens_per(df: DataFrame, key: str, token: str, per_row: int | None = None, name: str = "tokens",
+               hot_rows: int | None = None, order: str | Sequence[str] = ()) -> DataFrame:
+    """Values of a column joined by blanks: one row per id, (id, part, tokens) with part 0.
+
+    Tokens follow the ``order`` columns (those of their arrival, say; NULL first), ties by the token; without such columns they are sorted. NULL tokens
+    are left out, and so are ids that have no other tokens and rows without an id.
+
+    An ordinary id is one aggregate. The rows of a hot id are spread over tasks: equal rows are counted, cut by their positions into segments, and only
+    the finished strings of its segments meet, in the row that holds them. ``per_row`` gives documents of more tokens further rows (parts 1, 2, ...), for
+    ids whose document is too long for one value.
     """
+    order = as_list(order)
+    named = {f"_o{i}": F.col(c) for i, c in enumerate(order)}
+    words = drop_null_keys(df, [key]).select(F.col(key), *[c.alias(n) for n, c in named.items()], F.col(token).cast("string").alias("_t"))
+    words, sorting = words.where(F.col("_t").isNotNull()), [*named, "_t"]
+    if per_row is not None:
+        return _segments(words, key, sorting, per_row, name, hot_rows)
+    hot = hot_keys(words, [key], hot_rows)
+    cold, heavy = (words, None) if hot is None else split_hot(words, [key], hot)
+    placed = F.array_sort(F.collect_list(F.struct(*sorting)))
+    out = cold.groupBy(key).agg(F.array_join(F.transform(placed, lambda s: s["_t"]), " ").alias(name))
+    if heavy is not None:
+        segments = _segments(heavy, key, sorting, SEGMENT, name, hot_rows)
+        strings = F.transform(F.array_sort(F.collect_list(F.struct("part", name))), lambda s: s[name])
+        out = out.unionByName(segments.groupBy(key).agg(F.array_join(strings, " ").alias(name)))
+    return out.select(key, F.lit(0).cast("bigint").alias("part"), name)
+
+
+def _segments(words: DataFrame, key: str, sorting: Sequence[str], per_row: int, name: str, hot_rows: int | None) -> DataFrame:
+    """(id, part, tokens) with at most per_row tokens in a part, by the position of the tokens in their id."""
     from relfold.operators.ordered import with_position
 
-    words = df.select(key, F.col(token).cast("string").alias("_t")).where(F.col("_t").isNotNull())
-    counted = words.groupBy(key, "_t").agg(F.count(F.lit(1)).alias("_n"))
-    # position of the first copy of each distinct token inside its id
-    placed = with_position(counted, key, ["_t"], "_rank", hot_rows=hot_rows)
+    counted = words.groupBy(key, *sorting).agg(F.count(F.lit(1)).alias("_n"))
+    # position of the first copy of each distinct row inside its id
+    placed = with_position(counted, key, sorting, "_rank", hot_rows=hot_rows)
     before = _running_before(placed, key, "_rank", "_n")
     first, last = F.col("_before"), F.col("_before") + F.col("_n") - 1
     parts = F.explode(F.sequence(F.floor(first / per_row), F.floor(last / per_row)))
     cut = before.withColumn("part", parts)
     copies = F.least(last, (F.col("part") + 1) * per_row - 1) - F.greatest(first, F.col("part") * per_row) + 1
     cut = cut.withColumn("_copies", copies.cast("int"))
-    lists = cut.groupBy(key, "part").agg(F.array_sort(F.collect_list(F.struct("_t", "_copies"))).alias("_l"))
+    lists = cut.groupBy(key, "part").agg(F.array_sort(F.collect_list(F.struct(*sorting, "_copies"))).alias("_l"))
     text = F.array_join(F.flatten(F.transform("_l", lambda s: F.array_repeat(s["_t"], s["_copies"]))), " ")
     return lists.select(key, "part", text.alias(name))
 

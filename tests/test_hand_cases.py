@@ -197,6 +197,34 @@ def test_tokens_in_parts(spark):
     assert parts == [(1, 0, "a a b"), (1, 1, "b b c"), (1, 2, "d"), (3, 0, "z")]
 
 
+def test_one_document_per_id_in_order_of_arrival(spark):
+    arrived = [(1, n, w) for n, w in enumerate("b a b c a b d".split())] + [(1, None, "z"), (1, 3, "a"), (2, 0, None), (3, 9, "z"), (None, 1, "y")]
+    df = spark.createDataFrame(arrived, "k int, n int, w string")
+    want = [(1, 0, "z b a b a c a b d"), (3, 0, "z")]
+    assert rows(rel.tokens_per(df, "k", "w", order="n"), "k") == want
+    assert rows(rel.tokens_per(df, "k", "w", order="n", hot_rows=0), "k") == want
+    assert rows(rel.tokens_per(df, "k", "w", order="n", hot_rows=2), "k") == want
+    assert rows(rel.tokens_per(df, "k", "w", hot_rows=0), "k") == [(1, 0, "a a a b b b c d z"), (3, 0, "z")]
+    assert rows(rel.tokens_per(df.limit(0), "k", "w", order="n"), "k") == []
+
+
+def test_document_of_a_hot_id_is_joined_from_segments(spark, monkeypatch):
+    monkeypatch.setattr(rel, "SEGMENT", 1000)
+    n = 30_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50 + 100).alias("k"), (F.col("id") * 7919 % n).alias("at"), (F.col("id") % 13).alias("w"))
+    plain = {r["k"]: r["tokens"] for r in rel.tokens_per(df, "k", "w", order="at", hot_rows=n).collect()}
+    got = rel.tokens_per(df, "k", "w", order="at", hot_rows=5000)
+    assert {r["k"]: r["tokens"] for r in got.collect()} == plain and got.count() == len(plain)
+    assert plain[7].split() == [str(i % 13) for i in sorted(range(0, n, 3), key=lambda i: i * 7919 % n)]
+    # one row holds the whole document: ties of the whole order are counted, not gathered
+    one = df.withColumn("at", F.lit(1)).withColumn("w", F.lit("x"))
+    assert rel.tokens_per(one, "k", "w", order="at", hot_rows=5000).where("k = 7").first()["tokens"] == " ".join("x" * (n // 3))
+    # the last aggregate of the hot id reads segments of at most SEGMENT tokens
+    words = df.where("k = 7").select("k", F.col("at").alias("_o0"), F.col("w").cast("string").alias("_t"))
+    sizes = [len(r["tokens"].split()) for r in rel._segments(words, "k", ["_o0", "_t"], 1000, "tokens", 5000).collect()]
+    assert len(sizes) == 10 and set(sizes) == {1000}
+
+
 def test_nan_never_appears(spark):
     df = spark.createDataFrame([(1, 0.0), (1, 0.0)], "k int, v double")
     got = fold.rollup(df, "k", {"v": ["mean", "std", "var", "skew", "kurt", "median"]}).first()

@@ -54,7 +54,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows as a local table, or None if there are none. All of them: there are at most rows / hot_rows.
+    """Keys with more than ``hot_rows`` rows, or None if there are none. All of them: up to SENT_KEYS as a local table, more as a stored one.
 
     With the default threshold small inputs are not searched. The search reads the key columns only and counts on
     the map side.
@@ -66,14 +66,29 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) ->
     found = (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows).select(*keys)
     )
-    rows = found.collect()
+    rows = found.limit(SENT_KEYS + 1).collect()
+    if len(rows) > SENT_KEYS:
+        ensure_checkpoint_dir(df.sparkSession)
+        return found.checkpoint()
     return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
+def is_sent(keys: DataFrame) -> bool:
+    """Whether a table of keys is so short that it goes to all tasks."""
+    return keys.count() <= SENT_KEYS
+
+
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys); the hot-key table is bounded, so it may be broadcast."""
-    small = F.broadcast(hot)
-    return df.join(small, list(keys), "left_anti"), df.join(small, list(keys), "left_semi")
+    """(rows of ordinary keys, rows of hot keys). Up to SENT_KEYS hot keys are broadcast; for more of them the rows of each key are spread over SLICES parts."""
+    if is_sent(hot):
+        small = F.broadcast(hot)
+        return df.join(small, list(keys), "left_anti"), df.join(small, list(keys), "left_semi")
+    return _split_spread(df, keys, hot)
+
+
+def _split_spread(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    marked = join_spread(df, hot.select(*keys, F.lit(True).alias("_hot")), keys, SLICES)
+    return marked.where(F.col("_hot").isNull()).drop("_hot"), marked.where(F.col("_hot")).drop("_hot")
 
 
 def numeric_order(df: DataFrame, name: str) -> Column | None:
@@ -88,7 +103,7 @@ def numeric_order(df: DataFrame, name: str) -> Column | None:
     return None
 
 
-# Keys whose slice bounds (about 2 KB each) are sent to all tasks; more of them are joined.
+# Hot keys, and keys whose slice bounds (about 2 KB each), are sent to all tasks up to this number; more of them are joined.
 SENT_KEYS = 4096
 # Parts that the rows of a key are spread over where a table of statistics is joined to them.
 SALTS = 16
@@ -169,17 +184,23 @@ def with_order_slice(df: DataFrame, keys: Sequence[str], order: Sequence[str], t
     if tied is None:
         return cut.withColumn("_slice", F.array(F.col("_slice").cast("int")))
     known = tied.where(F.col(first).isNotNull()).groupBy(*keys).agg(F.array_sort(F.collect_list(first)).alias("_tied"))
-    cut = cut.join(F.broadcast(known), list(keys), "left")
+    sent = is_sent(tied)
+    cut = cut.join(F.broadcast(known), list(keys), "left") if sent else join_spread(cut, known, keys, slices)
     x = F.col(first)
     # even numbers lie between the tied values, odd ones are the tied values themselves; rows without a value come first
     below = F.coalesce(F.size(F.filter("_tied", lambda v: v < x)), F.lit(0))
     here = F.coalesce(F.array_contains("_tied", x), F.lit(False)).cast("int")
     place = F.array(F.col("_slice").cast("int"), F.when(x.isNull(), F.lit(-1)).otherwise(2 * below + here).cast("int"))
     placed = cut.withColumn("_slice", place).drop("_tied")
-    match = F.broadcast(tied.select(*[F.col(c).alias(f"_t_{c}") for c in (*keys, first)]))
-    same = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in (*keys, first)]
-    single = placed.join(match, same, "left_anti")
-    many = placed.join(match, same, "left_semi").withColumnRenamed("_slice", outer := f"_outer{len(rest)}")
+    if sent:
+        match = F.broadcast(tied.select(*[F.col(c).alias(f"_t_{c}") for c in (*keys, first)]))
+        same = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in (*keys, first)]
+        single, many = placed.join(match, same, "left_anti"), placed.join(match, same, "left_semi")
+    else:
+        # equality of structs takes a NULL inside as a value like any other
+        with_key = lambda t: t.withColumn("_key", F.struct(*keys, first))
+        single, many = (t.drop("_key") for t in _split_spread(with_key(placed), ["_key"], with_key(tied)))
+    many = many.withColumnRenamed("_slice", outer := f"_outer{len(rest)}")
     inner = with_order_slice(many, [*keys, first], rest, tied_rows, slices)
     if inner is None:
         return placed

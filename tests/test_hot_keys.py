@@ -106,6 +106,29 @@ def test_ties_are_cut_by_the_next_order_columns(spark, monkeypatch, descending):
     assert [s for _, s in rows] == sorted(s for _, s in rows) and len(rows) == hot.count()
 
 
+def test_more_hot_keys_than_are_sent(skewed, spark, monkeypatch):
+    df, order = one_day(spark), ["day", "hour", "id"]
+    plain = ordered.with_position(df, "k", order)
+    monkeypatch.setattr(hotkeys, "TIED_ROWS", 100)
+    monkeypatch.setattr(hotkeys, "SENT_KEYS", 0)
+    found = hotkeys.hot_keys(skewed, ["k"], 40)
+    assert sorted(r["k"] for r in found.collect()) == sorted(r["k"] for r in skewed.groupBy("k").count().where("count > 40").collect())
+    nulls = skewed.withColumn("k", F.when(F.col("id") % 5 > 0, F.col("k")))
+    cold, heavy = hotkeys.split_hot(nulls, ["k"], found)
+    assert "BroadcastHashJoin" not in hotkeys_plan(cold, spark) and "BroadcastNestedLoop" not in hotkeys_plan(heavy, spark)
+    same(cold, nulls.join(F.broadcast(found), "k", "left_anti").select(*nulls.columns))
+    same(heavy, nulls.join(F.broadcast(found), "k", "left_semi").select(*nulls.columns))
+    same(plain, ordered.with_position(df, "k", order, hot_rows=500))
+
+
+def hotkeys_plan(df, spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return df.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_null_and_absent_order_values_have_a_slice(spark):
     df = spark.createDataFrame([(1, None), (1, 2.0), (2, None)], "k int, x double")
     assert sorted(r["_slice"] for r in hotkeys.with_slice(df, ["k"], "x").collect())[:2] == [-1, -1]
